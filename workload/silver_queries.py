@@ -380,8 +380,6 @@ QUERIES = {
     "dedup_games": _dedup_games,
     "dedup_team_histories": _dedup_histories,
 }
-# The plain histories silver carries its ingest time only in the players check.
-_HISTORIES_SILVER = _HISTORIES_SQL + _latest_sql("teamId", _HISTORIES_ORDER, "* EXCLUDE (rn)")
 
 ORACLE = {
     "silver_games": _GAMES_SQL + _latest_sql("gameid", _GAMES_ORDER, _GAMES_OUT),
@@ -408,7 +406,8 @@ ORACLE = {
     ),
     "quarantine_player_statistics": f"""{_LINES_SQL}
         SELECT * FROM judged WHERE quarantine_reason IS NOT NULL""",
-    "silver_team_histories": _HISTORIES_SILVER,
+    "silver_team_histories": _HISTORIES_SQL
+    + _latest_sql("teamId", _HISTORIES_ORDER, "* EXCLUDE (rn)"),
     "quarantine_team_histories": f"""{_HISTORIES_SQL}
         SELECT *, {_RUN_TS_SQL} AS quarantine_ts FROM judged
         WHERE quarantine_reason IS NOT NULL""",
