@@ -23,7 +23,6 @@ from lodeworks.operators.quality import (
     accepted,
     quarantined,
     require_columns,
-    tag_rows,
     with_policy,
 )
 
@@ -89,9 +88,8 @@ def build_silver(
     today, now = _as_date(as_of), _as_timestamp(run_ts)
     checks = with_policy(contract.checks, on_invalid, on_unknown)
     prepared = derive(clean(bronze, contract), contract.before_checks, today)
-    tagged = tag_rows(prepared, checks, today)
 
-    good = accepted(tagged)
+    good = accepted(prepared, checks, today)
     if contract.tidy_text_after_checks:
         good = _tidied(good, contract)
     if tie_break is None:
@@ -102,6 +100,6 @@ def build_silver(
     return SilverTables(
         silver=stamp(enriched, (SILVER_TS, SOURCE_FILE), now, contract.record_source),
         quarantine=stamp(
-            quarantined(tagged), contract.quarantine_audit, now, contract.record_source
+            quarantined(prepared, checks, today), contract.quarantine_audit, now, contract.record_source
         ),
     )
