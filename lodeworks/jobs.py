@@ -117,6 +117,7 @@ def _pairs(options: Sequence[str]) -> dict[str, str]:
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="lodeworks.jobs")
+    parser.add_argument("--hive", action="store_true", help="use the Hive metastore")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     load = jobs.add_parser("load", help="CSV with header into a bronze table")
@@ -228,7 +229,7 @@ _JOBS = {"load": _load, "import": _import, "silver": _silver, "gold": _gold, "st
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    _JOBS[args.job](session(f"lodeworks {args.job}"), args)
+    _JOBS[args.job](session(f"lodeworks {args.job}", hive=args.hive), args)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -9,9 +10,21 @@ from lodeworks.operators.audit import SOURCE_FILE
 from lodeworks.operators.clean import rename_by_position
 
 
+# One fixed-width form, so that timestamps written as text sort in time order and
+# keep their microseconds.
+TEXT_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def with_lineage(scan: DataFrame) -> DataFrame:
-    """Add the file each row was read from; only possible right at a file scan."""
-    return scan.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    """Add the file each row was read from; only possible right at a scan.
+
+    Scans without a metadata column (tables of other storage handlers) fall back
+    to the name of the file being read, and rows from no file get NULL.
+    """
+    try:
+        return scan.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    except AnalysisException:
+        return scan.withColumn(SOURCE_FILE, F.nullif(F.input_file_name(), F.lit("")))
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -37,6 +50,8 @@ def scan_delimited(
         .option("header", False)
         .option("mode", "PERMISSIVE")
         .option("quote", "")
+        .option("timestampFormat", TEXT_TIMESTAMP)
+        .option("timestampNTZFormat", TEXT_TIMESTAMP)
     )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
@@ -70,12 +85,14 @@ def scan_csv_with_header(
 ) -> DataFrame:
     """CSV whose header names the columns.
 
-    Only the header line is read up front. Columns found in ``schema`` (in any
-    order) get its types, all others are text.
+    Only one header line is read up front. Columns found in ``schema`` (in any
+    order) get its types, all others are text. A file whose header differs from
+    that of the first file fails instead of being read under wrong names.
     """
     header = spark.read.option("header", True).csv(path).columns
     known = {} if schema is None else {f.name.lower(): f.dataType for f in schema.fields}
     by_header = StructType(
         [StructField(name, known.get(name.lower(), StringType()), True) for name in header]
     )
-    return spark.read.schema(by_header).option("header", True).csv(path)
+    reader = spark.read.schema(by_header).option("header", True)
+    return reader.option("enforceSchema", False).csv(path)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from lodeworks.sources.files import TEXT_TIMESTAMP
+
 
 def laid_out(
     df: DataFrame, partition_by: Sequence[str] = (), num_partitions: int | None = None
@@ -50,6 +52,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overw
         .option("quote", "")
         .option("emptyValue", "")
         .option("nullValue", "")
+        .option("timestampFormat", TEXT_TIMESTAMP)
+        .option("timestampNTZFormat", TEXT_TIMESTAMP)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

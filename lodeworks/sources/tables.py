@@ -5,6 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from lodeworks.sources.sinks import write_parquet
 
@@ -24,6 +25,16 @@ def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.read.table(name)
 
 
+def register_delimited(
+    spark: SparkSession, name: str, path: str, schema: StructType, sep: str = ","
+) -> DataFrame:
+    """A catalog entry with a fixed schema over headerless delimited text."""
+    spark.catalog.createTable(
+        name, path=path, source="csv", schema=schema, sep=sep, quote="", header="false"
+    )
+    return spark.read.table(name)
+
+
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Replace a table in place. Readers find it missing while it is written."""
     writer = df.write.mode("overwrite").format("parquet")

@@ -57,6 +57,26 @@ def test_text_target_grows_by_watermark(spark, tmp_path):
     assert_tables_equal(incremental_append(rows, target, "ts", delimited=True), rows)
 
 
+def test_text_target_keeps_microseconds(spark, tmp_path):
+    rows = spark.createDataFrame(DAYS, "id int, ts string")
+    for kind in ("timestamp", "timestamp_ntz"):
+        typed = rows.withColumn("ts", F.col("ts").cast(kind))
+        target = str(tmp_path / kind)
+        incremental_append(typed.filter("id < 3"), target, "ts", delimited=True)
+        assert_tables_equal(incremental_append(typed, target, "ts", delimited=True), typed)
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("personId,country\n7,Peru\n")
+    (tmp_path / "b.csv").write_text("country,personId\nChad,8\n")
+    with pytest.raises(Exception, match="header"):
+        scan_csv_with_header(spark, str(tmp_path), PLAYERS.bronze).collect()
+
+
+def test_rows_from_no_file_have_no_lineage(spark):
+    assert with_lineage(spark.createDataFrame([(1,)], "a int")).first()["source_file"] is None
+
+
 def test_empty_target_has_no_watermark(spark, tmp_path):
     rows = spark.createDataFrame(DAYS, "id int, ts string")
     target = str(tmp_path / "t")

@@ -84,16 +84,6 @@ def test_watermark_reaches_the_scan(spark):
     assert "GreaterThan(ts" in physical(newer_than(events, "ts", "2024-01-01 12:00:00"))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_no_query_leaves_the_jvm_or_multiplies(spark, name):
-    df = driver.queries()[name](spark, SF_DIR)
-    plan = physical(df)
-    for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert unwanted not in plan
-    if "row_count" not in name and name not in ("check_table",):
-        assert "SinglePartition" not in plan
-
-
 def test_unused_game_join_is_absent(spark):
     assert optimized(driver.queries()["fact_stats"](spark, SF_DIR)).count("LeftOuter") == 1
 

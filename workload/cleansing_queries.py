@@ -45,7 +45,7 @@ def _cast(contract, role):
     return lambda spark, sf_dir: enforce_types(role.frame(spark, sf_dir), contract.bronze)
 
 
-def _cast_sql(contract, role):
+def cast_sql(contract, role):
     kinds = {"bigint": "BIGINT", "int": "INT", "double": "DOUBLE", "string": "VARCHAR"}
     typed = ", ".join(
         f"try_cast({field.name} AS {kinds[field.dataType.simpleString()]}) AS {field.name}"
@@ -181,10 +181,10 @@ ORACLE = {
     "clean_null_tokens_excluding": f"""SELECT * REPLACE ({replacing(
         {n: null_tokens(n) for n in ("personId", "lastName")})})
         FROM ({_PLAYERS.sql(*_POSITION_COLUMNS)}) AS b""",
-    "clean_cast_players": _cast_sql(PLAYERS, _PLAYERS),
-    "clean_cast_team_histories": _cast_sql(TEAM_HISTORIES, _HISTORIES),
-    "clean_cast_team_statistics": _cast_sql(TEAM_STATISTICS, _TEAMS),
-    "clean_cast_games_by_season": _cast_sql(GAMES_BY_SEASON, _GAMES),
+    "clean_cast_players": cast_sql(PLAYERS, _PLAYERS),
+    "clean_cast_team_histories": cast_sql(TEAM_HISTORIES, _HISTORIES),
+    "clean_cast_team_statistics": cast_sql(TEAM_STATISTICS, _TEAMS),
+    "clean_cast_games_by_season": cast_sql(GAMES_BY_SEASON, _GAMES),
     "clean_trim_case": f"""
         SELECT gameid, trim(hometeamcity) AS hometeamcity, trim(awayteamcity) AS awayteamcity,
                upper(trim(gametype)) AS gametype, upper(hometeamname) AS hometeamname,
@@ -214,7 +214,7 @@ ORACLE = {
         SELECT *, concat_ws(' ', teamCity, teamName) AS team_full_name,
                CASE WHEN seasonActiveTill IS NULL OR seasonActiveTill >= {AS_OF.year}
                     THEN 1 ELSE 0 END AS active_flag
-        FROM ({_cast_sql(TEAM_HISTORIES, _HISTORIES)}) AS typed""",
+        FROM ({cast_sql(TEAM_HISTORIES, _HISTORIES)}) AS typed""",
     "derive_outcome": f"""
         SELECT *, CASE WHEN homescore > awayscore THEN 1 ELSE 0 END AS home_win,
                CASE WHEN awayscore > homescore THEN 1 ELSE 0 END AS away_win,

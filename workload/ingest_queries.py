@@ -22,12 +22,14 @@ from lodeworks.sources.tables import (
     ensure_database,
     overwrite_table,
     publish_table,
+    register_delimited,
     register_external,
     scan_table,
 )
 from lodeworks.streaming.incremental import high_watermark, incremental_append, since_cutoff
 from workload import roles
-from workload.silver_queries import silver_games, silver_team_statistics
+from workload.cleansing_queries import cast_sql
+from workload.silver_queries import ORACLE as SILVER_SQL, silver_games
 
 _SPLIT = "2024-01-02 00:00:00"
 _CUTOFF = "1998-06-01"
@@ -94,6 +96,12 @@ def _delimited_unparsable(spark, sf_dir):
     return scan_delimited(spark, path, TEAM_STATISTICS.bronze)
 
 
+def _delimited_table(spark, sf_dir):
+    database, base = _database(spark)
+    write_delimited(_GAMES.frame(spark, sf_dir, *_GAME_COLUMNS), f"{base}/games")
+    return register_delimited(spark, f"{database}.games", f"{base}/games", GAMES.bronze)
+
+
 def _headerless(spark, sf_dir):
     path = fresh_path(spark, "headerless")
     rows = _GAMES.frame(spark, sf_dir, *_GAME_COLUMNS)
@@ -143,10 +151,10 @@ def _full_refresh(spark, sf_dir):
 
 def _catalog_overwrite(spark, sf_dir):
     database, base = _database(spark)
-    nations = roles.load(spark, sf_dir, "customer")
-    overwrite_table(nations, f"{database}.customers", f"{base}/customers")
+    customers = roles.load(spark, sf_dir, "customer")
+    overwrite_table(customers, f"{database}.customers", f"{base}/customers")
     overwrite_table(
-        nations.select("c_custkey", "c_name"), f"{database}.customers", f"{base}/customers"
+        customers.select("c_custkey", "c_name"), f"{database}.customers", f"{base}/customers"
     )
     return scan_table(spark, database, "customers")
 
@@ -183,6 +191,7 @@ QUERIES = {
     "watermark_rows": _watermark,
     "csv_bronze_roundtrip": _delimited_roundtrip,
     "csv_bronze_unparsable": _delimited_unparsable,
+    "csv_bronze_table": _delimited_table,
     "csv_headerless_rename": _headerless,
     "csv_with_header": _with_header,
     "parquet_overwrite": _parquet_overwrite,
@@ -196,10 +205,9 @@ QUERIES = {
 
 
 def _oracle():
-    from workload.cleansing_queries import _cast_sql
-    from workload.silver_queries import ORACLE as silver
-
-    text = [name for name in _GAME_COLUMNS if GAMES.bronze[name].dataType.simpleString() == "string"]
+    text = [
+        field.name for field in GAMES.bronze.fields if field.dataType.simpleString() == "string"
+    ]
     emptied = ", ".join(f"nullif({name}, '') AS {name}" for name in text)
     events = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
     split = f"TIMESTAMP '{_SPLIT}'"
@@ -218,7 +226,9 @@ def _oracle():
             SELECT event_id, ts FROM events WHERE ts = (SELECT max(ts) FROM events)""",
         "csv_bronze_roundtrip": f"""
             SELECT * REPLACE ({emptied}) FROM ({_GAMES.sql(*_GAME_COLUMNS)}) AS b""",
-        "csv_bronze_unparsable": _cast_sql(TEAM_STATISTICS, _TEAMS),
+        "csv_bronze_table": f"""
+            SELECT * REPLACE ({emptied}) FROM ({_GAMES.sql(*_GAME_COLUMNS)}) AS b""",
+        "csv_bronze_unparsable": cast_sql(TEAM_STATISTICS, _TEAMS),
         "csv_headerless_rename": f"""
             SELECT * REPLACE (nullif(awayteamname, 'null') AS awayteamname)
             FROM ({_GAMES.sql(*_GAME_COLUMNS)}) AS b""",
@@ -242,8 +252,8 @@ def _oracle():
             SELECT l_orderkey, l_linenumber, 'lineitem.parquet' AS file_name FROM lineitem""",
         "row_count_report": f"""
             SELECT 'bronze' AS layer, count(*) AS row_count FROM lineitem UNION ALL
-            SELECT 'silver', count(*) FROM ({silver["silver_games"]}) AS s UNION ALL
-            SELECT 'quarantine', count(*) FROM ({silver["quarantine_games"]}) AS q""",
+            SELECT 'silver', count(*) FROM ({SILVER_SQL["silver_games"]}) AS s UNION ALL
+            SELECT 'quarantine', count(*) FROM ({SILVER_SQL["quarantine_games"]}) AS q""",
     }
 
 
