@@ -137,6 +137,7 @@ def _parser() -> argparse.ArgumentParser:
     pull.add_argument("--split", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "PARTITIONS"))
     pull.add_argument("--newer-by", metavar="COLUMN", help="append rows past the watermark")
     pull.add_argument("--lookback-days", type=float)
+    pull.add_argument("--floor", help="a value the watermark is known to have reached")
     pull.add_argument("--delimited", action="store_true")
 
     silver = jobs.add_parser("silver", help="bronze into silver and quarantine")
@@ -182,7 +183,9 @@ def _import(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = scan_jdbc(spark, args.url, args.table, _pairs(args.property), split)
     if args.newer_by:
         lookback = timedelta(days=args.lookback_days) if args.lookback_days else None
-        incremental_append(rows, args.target, args.newer_by, lookback, args.delimited)
+        incremental_append(
+            rows, args.target, args.newer_by, lookback, args.delimited, args.floor
+        )
     elif args.delimited:
         write_delimited(rows, args.target)
     else:

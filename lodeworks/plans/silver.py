@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from lodeworks.contract import Contract
 from lodeworks.operators.audit import SILVER_TS, SOURCE_FILE, stamp
@@ -49,7 +50,11 @@ def clean(bronze: DataFrame, contract: Contract) -> DataFrame:
     """Null tokens, types, text and timestamps; row count unchanged."""
     require_columns(bronze, contract.bronze.fieldNames())
     carry = [name for name in (SOURCE_FILE,) if name in bronze.columns]
-    df = blank_null_tokens(bronze, except_columns=(*contract.keep_tokens_in, *carry))
+    untouched = [*contract.keep_tokens_in, *carry]
+    if contract.enforce_types:
+        # No token reads as a number, so the cast alone turns it into NULL.
+        untouched += [f.name for f in contract.bronze.fields if f.dataType != StringType()]
+    df = blank_null_tokens(bronze, except_columns=untouched)
     if contract.enforce_types:
         df = enforce_types(df, contract.bronze, carry)
     if not contract.tidy_text_after_checks:

@@ -32,13 +32,22 @@ def since_cutoff(df: DataFrame, ts_column: str, cutoff: str = CUTOFF) -> DataFra
     return df.filter(F.col(ts_column) >= limit)
 
 
-def high_watermark(target: DataFrame, ts_column: str) -> Any:
+def high_watermark(target: DataFrame, ts_column: str, floor: str | None = None) -> Any:
     """Greatest value of the column, NULL for an empty table.
 
     A single value reaches the driver: an instant as microseconds since the
     epoch and a local timestamp as text, so that the time zone of the Python
     process plays no part.
+
+    ``floor`` is any value known to be reached, such as yesterday's date. Only
+    files and row groups from there on are read, instead of the whole column; if
+    nothing is found there, the whole column is read after all.
     """
+    if floor is not None:
+        limit = F.lit(floor).cast(target.schema[ts_column].dataType)
+        recent = high_watermark(target.filter(F.col(ts_column) >= limit), ts_column)
+        if recent is not None:
+            return recent
     column_type = target.schema[ts_column].dataType
     top = F.max(ts_column)
     if isinstance(column_type, TimestampType):
@@ -91,16 +100,18 @@ def incremental_append(
     ts_column: str,
     lookback: timedelta | None = None,
     delimited: bool = False,
+    floor: str | None = None,
 ) -> DataFrame:
     """Append what is new to the target and return a scan of the whole target.
 
     A target that does not exist yet receives everything. The target is parquet,
     or delimited text with ``delimited``. A text column works as watermark too,
-    provided that its order as text is its order in time.
+    provided that its order as text is its order in time. ``floor`` narrows the
+    search for the watermark, see ``high_watermark``.
     """
     require_columns(source, [ts_column])
     target = _existing(source, target_path, delimited)
-    watermark = None if target is None else high_watermark(target, ts_column)
+    watermark = None if target is None else high_watermark(target, ts_column, floor)
     write = write_delimited if delimited else write_parquet
     write(newer_than(source, ts_column, watermark, lookback), target_path, mode="append")
     return _scan(source, target_path, delimited)

@@ -39,6 +39,12 @@ def test_two_increments_make_the_whole(timed, tmp_path):
     assert incremental_append(timed, target, "ts").count() == 3
 
 
+def test_a_floor_narrows_the_search_only(timed):
+    top = high_watermark(timed, "ts")
+    for floor in ("2020-05-05", "2021-01-02", "2021-01-03", "2022-01-01"):
+        assert high_watermark(timed, "ts", floor=floor) == top
+
+
 def test_late_rows_need_a_lookback(spark, tmp_path):
     rows = spark.createDataFrame(DAYS, "id int, ts string").withColumn(
         "ts", F.col("ts").cast("timestamp")
