@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.llm.common import shared_folder, table
+from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.packing import pack_documents
 from lodeworks.llm.token_files import read_token_files, token_file_path, write_token_files
 from lodeworks.llm.topk import quantized, top_k
@@ -31,6 +32,12 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10
+    )
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantized(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256)
     return top_k(vectors.where("id % 50 = 0"), vectors, 5)
@@ -39,10 +46,43 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op8_token_files": op8_token_files,
+    "op9_decontamination": op9_decontamination,
     "op10_top_k": op10_top_k,
 }
 
+_ASCII_LOWER = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE: dict[str, str] = {
+    "op9_decontamination": f"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS row,
+                   regexp_extract_all({_ASCII_LOWER}, '{_TERM}') AS w FROM documents
+        ), b AS (
+            SELECT item_id::VARCHAR AS item, regexp_extract_all({_ASCII_LOWER}, '{_TERM}') AS w
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), phrase AS (
+            SELECT DISTINCT item, least(10, len(w)) AS n, w[i : i + least(10, len(w)) - 1] AS p
+            FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0
+        ), place AS (
+            SELECT row, i, n, w[i : i + n - 1] AS p
+            FROM d, (SELECT DISTINCT n FROM phrase) AS s, unnest(range(1, len(w) - n + 2)) AS t(i)
+        ), found AS (
+            SELECT place.row, i, n, item FROM place JOIN phrase USING (n, p)
+        ), hits AS (
+            SELECT row, count(DISTINCT pos) AS n_hit
+            FROM (SELECT row, unnest(range(i, i + n)) AS pos FROM found) GROUP BY row
+        ), items AS (
+            SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT row, item FROM found) GROUP BY row
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (row) LEFT JOIN items USING (row)
+    """,
     "op10_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x)::DOUBLE) AS e
