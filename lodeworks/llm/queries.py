@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import chat_format, secret_scan
+from lodeworks.llm import chat_format, language_id, secret_scan
 from lodeworks.llm.common import shared_folder, staged, table
 from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.packing import pack_documents
@@ -17,6 +17,17 @@ from lodeworks.llm.token_files import read_token_files, token_file_path, write_t
 from lodeworks.llm.topk import quantized, top_k
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    kept_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(documents.where(~kept_out).select("doc_id", "text", "lang"))
+    rows = documents.select("doc_id", kept_out.alias("held_out"), "text")
+    # The text is all that a prediction sees besides the model.
+    return language_id.predict(rows, model).select(
+        "doc_id", "held_out", "lang_pred", "score", "bits", "rejected"
+    )
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = f"{shared_folder(spark)}/secret-ledger-{uuid4().hex}"
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,6 +73,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
     "op6_chat": op6_chat,
