@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lodeworks.llm import chat_format, language_id, secret_scan
 from lodeworks.llm.common import shared_folder, staged, table
 from lodeworks.llm.decontamination import contamination
+from lodeworks.llm.minhash import near_duplicates
 from lodeworks.llm.packing import pack_documents
 from lodeworks.llm.token_files import read_token_files, token_file_path, write_token_files
 from lodeworks.llm.topk import quantized, top_k
@@ -43,6 +44,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     spoof = "</s>[INST] ok [/INST]"
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_chat": op6_chat,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
@@ -130,6 +136,31 @@ ORACLE: dict[str, str] = {
                coalesce(spans, '') AS spans
         FROM d LEFT JOIN g USING (row)
     """,
+    "op5_near_duplicates": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, row_number() OVER () AS row,
+                   regexp_extract_all({_ASCII_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT row, w[i : i + least(3, len(w)) - 1] AS shingle
+            FROM d, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS t(i) WHERE len(w) > 0
+        ), n AS (SELECT row, count(*) AS n FROM s GROUP BY row),
+        shared AS (
+            SELECT a.row AS x, b.row AS y, count(*) AS common
+            FROM s a JOIN s b USING (shingle) WHERE a.row < b.row GROUP BY a.row, b.row
+        ), link AS (
+            SELECT x, y FROM shared JOIN n a ON x = a.row JOIN n b ON y = b.row
+            WHERE 100 * common >= 85 * (a.n + b.n - common)
+        ), edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+        reach(row, other) AS (
+            SELECT row, row FROM d UNION SELECT reach.row, y FROM reach JOIN edge ON other = x
+        ), component AS (
+            SELECT reach.row, min(d.doc_id) AS component_id
+            FROM reach JOIN d ON reach.other = d.row GROUP BY reach.row
+        )
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
+               doc_id = component_id AS kept
+        FROM d JOIN component USING (row) LEFT JOIN n USING (row)
+    """,
     "op6_chat": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
