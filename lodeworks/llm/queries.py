@@ -14,6 +14,7 @@ from lodeworks.llm.common import shared_folder, staged, table
 from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.minhash import near_duplicates
 from lodeworks.llm.packing import pack_documents
+from lodeworks.llm.repeats import remove_repeats
 from lodeworks.llm.token_files import read_token_files, token_file_path, write_token_files
 from lodeworks.llm.topk import quantized, top_k
 
@@ -44,6 +45,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
+    "op4_repeats": op4_repeats,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_chat": op6_chat,
     "op8_token_files": op8_token_files,
@@ -136,6 +142,32 @@ ORACLE: dict[str, str] = {
                coalesce(spans, '') AS spans
         FROM d LEFT JOIN g USING (row)
     """,
+    # Bytes as pairs of hex digits, as DuckDB cuts no slices of blobs.
+    "op4_repeats": """
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h
+            FROM documents
+        ), w AS (
+            SELECT row, doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS k
+            FROM d, unnest(range(0, length(h) // 2 - 99)) AS t(i)
+        ), f AS (
+            SELECT row, i, min((doc_id, i)) OVER (PARTITION BY k) < (doc_id, i) AS late FROM w
+        ), gone AS (
+            SELECT DISTINCT row, i + j AS b FROM f, unnest(range(0, 100)) AS t(j) WHERE late
+        ), n AS (
+            SELECT row, count(*) AS n_removed, count(*) FILTER (b - 1 <> before) AS n_spans
+            FROM (SELECT row, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY b), -9) AS before FROM gone)
+            GROUP BY row
+        ), rest AS (
+            SELECT d.row, string_agg(substr(h, 2 * i + 1, 2), '' ORDER BY i) AS h
+            FROM d SEMI JOIN n USING (row), unnest(range(0, length(h) // 2)) AS t(i)
+            ANTI JOIN gone ON gone.row = d.row AND gone.b = i GROUP BY d.row
+        )
+        SELECT doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(CASE WHEN n.row IS NULL THEN d.h ELSE coalesce(rest.h, '') END)) AS kept_sha256
+        FROM d LEFT JOIN n USING (row) LEFT JOIN rest USING (row)
+    """,
     "op5_near_duplicates": f"""
         WITH RECURSIVE d AS (
             SELECT doc_id, row_number() OVER () AS row,

@@ -29,10 +29,24 @@ def _power(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each byte span; equal bytes have equal hashes, wherever they stand."""
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums from which the hash of any byte span follows."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[data] * _power(_BASE, len(data)), out=sums[1:])
+    return sums
+
+
+def gram_hashes(sums: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all spans of ``size`` bytes."""
+    return mix((sums[size:] - sums[:-size]) * _power(_INVERSE, len(sums))[: len(sums) - size])
+
+
+def span_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None
+) -> np.ndarray:
+    """A hash of each byte span; equal bytes have equal hashes, wherever they stand."""
+    if sums is None:
+        sums = byte_sums(data)
     return mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(data) + 1)[starts])
 
 
