@@ -1,6 +1,100 @@
-"""A corpus through language filter, near-dedup, decontamination, secret scan and packing."""
+"""A corpus through language filter, near-dedup, decontamination, secret scan and packing.
+
+Each stage takes ``(spark, docs, sf_dir)``. ``run`` writes what a stage returns as Parquet
+and reads it back as the next one's documents, so a lost executor never costs more than
+the stage at hand. All stages but the last return the columns of ``documents``.
+
+``documents`` columns may hold nulls, and rows may repeat. Stages tell rows apart by
+``doc_id`` and text: rows that agree in both stand or fall together. A null text is
+dropped by the first stage.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+from uuid import uuid4
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodeworks.llm import language_id, secret_scan
+from lodeworks.llm.common import shared_folder, staged, table
+from lodeworks.llm.decontamination import contamination
+from lodeworks.llm.minhash import near_duplicates
+from lodeworks.llm.packing import pack_documents
+
+#: Words of a benchmark passage, and share of a document's words in such passages, from
+#: which the document goes.
+PASSAGE_WORDS, SHARE = 10, 0.0
+CAPACITY = 2048
+
+
+def filter_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are in none of the languages that ``lang`` labels.
+
+    The models learn from the labelled documents themselves. Texts that no model explains
+    go, and so do texts without a letter. If no document has a label all are kept.
+    """
+    model = language_id.train(docs.select("doc_id", "text", "lang"))
+    if model is None:
+        return docs
+    return language_id.predict(docs, model).where("NOT rejected").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep of each group of near-duplicates the document with the smallest ``doc_id``.
+
+    Five-word shingles, similarity of 0.8 or more. Documents without words are kept.
+    """
+    kept = near_duplicates(docs, size=5, percent=80).where("kept").select("doc_id").distinct()
+    return docs.join(
+        kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi"
+    ).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a passage of ``PASSAGE_WORDS`` words of a benchmark item,
+    or a whole shorter item."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS)
+    hit = found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+
+
+def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents in which a secret is found."""
+    ledger = f"{shared_folder(spark)}/secret-ledger-{uuid4().hex}"
+    found = secret_scan.scan_history(docs.select("doc_id", "text"), ledger)
+    hit = found.where(F.size("findings") > 0).select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences; one row per piece."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), CAPACITY).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", filter_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", drop_secrets),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
+
+
+#: Tokenization and packing have no SQL; tests compare with a brute-force version.
+ORACLE_SQL: str | None = None
+
+QUERIES = {"pipeline": run}
 ORACLE: dict[str, str] = {}

@@ -14,6 +14,7 @@ from lodeworks.llm.common import shared_folder, staged, table
 from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.minhash import near_duplicates
 from lodeworks.llm.packing import pack_documents
+from lodeworks.llm.pii import replace_personal_data
 from lodeworks.llm.repeats import remove_repeats
 from lodeworks.llm.token_files import read_token_files, token_file_path, write_token_files
 from lodeworks.llm.topk import quantized, top_k
@@ -63,6 +64,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(staged(chat_format.format_conversations(turns), "chats"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A deployment gives a secret key; a fixed one makes this query repeatable.
+    return replace_personal_data(table(spark, sf_dir, "documents"), key="surrogates")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_file_path(shared_folder(spark))
     write_token_files(
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_repeats": op4_repeats,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_chat": op6_chat,
+    "op7_pii": op7_pii,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_top_k": op10_top_k,
