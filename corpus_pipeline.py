@@ -4,9 +4,11 @@ Each stage takes ``(spark, docs, sf_dir)``. ``run`` writes what a stage returns
 and reads it back as the next one's documents, so a lost executor never costs more than
 the stage at hand. All stages but the last return the columns of ``documents``.
 
-``documents`` columns may hold nulls, and rows may repeat. Stages tell rows apart by
-``doc_id`` and text: rows that agree in both stand or fall together. A null text is
-dropped by the first stage.
+``documents`` columns may hold nulls, and rows may repeat. Rows of one ``doc_id`` are one
+document, which stays or goes as a whole: it stays after near-dedup if one of its texts
+does, and goes if one of them holds a benchmark passage or a secret. Rows without an id
+are such a document too. The language stage judges each row by itself, and a null text
+goes there. Further columns pass through every stage but the last.
 """
 
 from __future__ import annotations
@@ -24,10 +26,8 @@ from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.minhash import near_duplicates
 from lodeworks.llm.packing import pack_documents
 
-#: Words of a benchmark passage, and share of a document's words in such passages, from
-#: which the document goes.
-PASSAGE_WORDS, SHARE = 10, 0.0
-CAPACITY = 2048
+#: Words of a benchmark passage for which a document goes, and ids of a packed sequence.
+PASSAGE_WORDS, CAPACITY = 10, 2048
 
 
 def filter_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,26 +47,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Five-word shingles, similarity of 0.8 or more. Documents without words are kept.
     """
-    kept = near_duplicates(docs, size=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(
-        kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi"
-    ).select(*docs.columns)
+    groups = near_duplicates(docs, size=5, percent=80)
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of ``PASSAGE_WORDS`` words of a benchmark item,
     or a whole shorter item."""
     found = contamination(docs, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS)
-    hit = found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+    hit = found.where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a secret is found."""
     ledger = f"{shared_folder(spark)}/secret-ledger-{uuid4().hex}"
     found = secret_scan.scan_history(docs.select("doc_id", "text"), ledger)
-    hit = found.where(F.size("findings") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+    hit = found.where(F.size("findings") > 0).select(F.col("doc_id").alias("found_id")).distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["found_id"]), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

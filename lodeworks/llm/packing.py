@@ -77,10 +77,10 @@ class Slots:
 def place(histogram: dict[int, int], capacity: int) -> list[Slots]:
     """Patterns for a histogram of lengths, as slots.
 
-    Longest first, each into the fullest-count pattern with the smallest filling. A
-    pattern with fewer copies than there are pieces takes that many; one with more is
-    split. Every step uses up a length or a pattern, so there are at most about twice
-    as many patterns as lengths, whatever the number of pieces.
+    Longest first, each into the open pattern with the smallest filling. A pattern with
+    fewer copies than there are pieces takes that many; one with more is split. A pattern
+    takes a length at most capacity / length times, so the number of steps is bounded by
+    the capacity, whatever the number of pieces.
     """
     # filling -> list of (sequence, count): copies of a pattern have adjacent numbers.
     opened: dict[int, list[tuple[int, int]]] = {}

@@ -106,12 +106,15 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, skip_same_id: bool
 
     Both sides are ``id, vector`` (whole numbers as double, as ``quantized`` makes them);
     only vectors of equal length meet. Ties go to the smaller id. With ``skip_same_id`` a
-    query does not find rows of its own id. Repeated candidate rows count each. Returns
+    query does not find rows of its own id. Repeated candidate rows count each. Query rows
+    of one id are one query: equal ones count once, of different ones the best scores count.
+    Returns
     ``query_id, rank, vec_id, score``; a query with no candidate has no row, and empty
     sides give no rows.
     """
     # The grid: each side is cut into bands of a bounded number of vectors, and every band
     # of queries meets every band of candidates in a cell of its own.
+    queries = queries.distinct()
     q_bands = 1 + queries.count() // (QUERY_BLOCK * BAND_BLOCKS)
     c_bands = 1 + candidates.count() // (SHARD_BLOCK * BAND_BLOCKS)
 

@@ -1,0 +1,52 @@
+"""The pipeline's stages on odd tables, and all of it against brute force."""
+
+import re
+
+import pytest
+
+import corpus_pipeline
+from odd_tables import build
+from lodeworks.llm.common import staged
+from test_text_operators import brute_groups, brute_hits, brute_secrets
+
+SF_DIR = "/root/testdata/sf0.001"
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.mark.parametrize("name", [n for n in STAGES if n != "packing"])
+def test_stages_keep_columns_and_bear_odd_tables(spark, odd_docs, no_docs, name):
+    for docs in (odd_docs, no_docs):
+        out = STAGES[name](spark, docs, SF_DIR)
+        assert out.columns == docs.columns
+        assert out.count() <= docs.count()
+    assert STAGES[name](spark, odd_docs, SF_DIR).count() > 0
+
+
+def test_packing_bears_odd_tables(spark, odd_docs, no_docs):
+    assert STAGES["packing"](spark, odd_docs, SF_DIR).count() > 0
+    assert STAGES["packing"](spark, no_docs, SF_DIR).count() == 0
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(5, " ".join(words), None), (3, " ".join(words[:-1]), None), (9, "other words", None), (4, None, None)]
+    kept = STAGES["near_duplicates"](spark, build(spark, rows), SF_DIR).collect()
+    assert sorted(r["doc_id"] for r in kept) == [3, 4, 9]
+
+
+def test_run_matches_brute_force(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    docs = [(i, t) for i, t in docs if t and re.search(r"[^\W\d_]", t)]
+    smallest = {i: c for i, _, c in brute_groups(docs, 5, 80)}
+    docs = [(i, t) for i, t in docs if smallest[i] == i]
+    hit = {h[0] for h in brute_hits(docs, bench, 10) if h[-1]}
+    docs = [(i, t) for i, t in docs if i not in hit and not brute_secrets(t)]
+    got = corpus_pipeline.run(spark, SF_DIR)
+    assert {r["doc_id"] for r in got.collect()} == {i for i, _ in docs}
+    sizes = {r["doc_id"]: r["doc_tokens"] for r in got.collect()}
+    assert got.groupBy().sum("length").first()[0] == sum(sizes.values())
+
+
+def test_stage_results_are_written(spark, odd_docs):
+    assert "Scan parquet" in staged(odd_docs, "x")._jdf.queryExecution().executedPlan().toString()
