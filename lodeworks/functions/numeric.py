@@ -3,6 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType
+
+_WITH_FRACTION = r"^\s*[+-]?[0-9]+\.[0-9]*\s*$"
+
+
+def whole_number(text: Column, kind: DataType) -> Column:
+    """Integer from text; digits with a fraction are cut off, other text is NULL.
+
+    Only plain decimal notation has a fraction to cut: ``12.7`` is 12, ``1e3`` is NULL.
+    """
+    cut = text.try_cast("decimal(38,10)").try_cast(kind)
+    return F.coalesce(text.try_cast(kind), F.when(text.rlike(_WITH_FRACTION), cut))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -13,7 +13,7 @@ import argparse
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodeworks.contract import Contract
 from lodeworks.contracts import CONTRACTS
@@ -21,29 +21,57 @@ from lodeworks.operators.audit import row_counts
 from lodeworks.plans.gold import gold_tables_from_seasons, player_seasons, team_seasons
 from lodeworks.plans.silver import build_silver
 from lodeworks.plans.star import star_tables
+from lodeworks.sources import storage
 from lodeworks.sources.files import (
     scan_csv_with_header,
     scan_delimited,
     scan_parquet,
     with_lineage,
 )
-from lodeworks.sources.jdbc import Split, append_jdbc, replace_jdbc, scan_jdbc
+from lodeworks.sources.jdbc import (
+    Split,
+    append_jdbc,
+    bounds_query,
+    derived_split,
+    replace_jdbc,
+    scan_jdbc,
+)
 from lodeworks.sources.session import session
-from lodeworks.sources.sinks import write_delimited, write_parquet
-from lodeworks.sources.staging import staged
+from lodeworks.sources.sinks import replace_parquet, write_delimited, write_parquet
+from lodeworks.sources.staging import fresh_path
 from lodeworks.sources.tables import (
     ensure_database,
     publish_table,
     register_external,
+    remove_superseded,
     scan_table,
 )
-from lodeworks.streaming.incremental import CUTOFF, incremental_append, since_cutoff
+from lodeworks.streaming.incremental import (
+    CUTOFF,
+    incremental_append,
+    last_value,
+    since_cutoff,
+)
+
 
 def load_csv(
-    spark: SparkSession, path: str, contract: Contract, cutoff: str = CUTOFF
+    spark: SparkSession,
+    path: str,
+    contract: Contract,
+    cutoff: str = CUTOFF,
+    rejects: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
-    """Typed rows of a CSV with header; time-based tables start at the cutoff."""
-    rows = scan_csv_with_header(spark, path, contract.bronze)
+    """Typed rows of a CSV with header; time-based tables start at the cutoff.
+
+    Records that do not fit their columns are written to ``rejects``, if that is given,
+    with their text; ``multiline`` reads quoted line breaks.
+    """
+    corrupt = "_corrupt_record" if rejects else None
+    rows = scan_csv_with_header(spark, path, contract.bronze, multiline, corrupt)
+    if rejects:
+        replace_parquet(rows.filter(F.col(corrupt).isNotNull()), rejects)
+        rows = rows.filter(F.col(corrupt).isNull()).drop(corrupt)
     ts_column = contract.timestamp_from
     return since_cutoff(rows, ts_column, cutoff) if ts_column else rows
 
@@ -75,27 +103,35 @@ def run_silver(
         on_invalid=on_invalid,
         on_unknown=on_unknown,
     )
-    write_parquet(
+    replace_parquet(
         tables.silver, silver_path, partition_by=partition_by, num_partitions=num_partitions
     )
     spark = bronze.sparkSession
     layers = {"bronze": bronze, "silver": scan_parquet(spark, silver_path)}
     if quarantine_path:
-        write_parquet(tables.quarantine, quarantine_path)
+        replace_parquet(tables.quarantine, quarantine_path)
         layers["quarantine"] = scan_parquet(spark, quarantine_path)
     return row_counts(layers)
 
 
-def run_gold(stats: DataFrame, games: DataFrame, gold_db: str, base_path: str) -> list[str]:
-    """Publish all gold tables from one pass over each silver table."""
+def run_gold(
+    stats: DataFrame, games: DataFrame, gold_db: str, base_path: str, keep: int = 1
+) -> list[str]:
+    """Publish all gold tables from one pass over each silver table.
+
+    Afterwards the staged aggregates and all but ``keep`` earlier publications are deleted.
+    """
     spark = stats.sparkSession
     ensure_database(spark, gold_db)
-    tables = gold_tables_from_seasons(
-        staged(player_seasons(stats), "player-seasons"),
-        staged(team_seasons(games), "team-seasons"),
-    )
+    players, teams = fresh_path(spark, "player-seasons"), fresh_path(spark, "team-seasons")
+    write_parquet(player_seasons(stats), players)
+    write_parquet(team_seasons(games), teams)
+    tables = gold_tables_from_seasons(scan_parquet(spark, players), scan_parquet(spark, teams))
     for name, table in tables.items():
-        publish_table(table, f"{gold_db}.{name}", base_path)
+        current = publish_table(table, f"{gold_db}.{name}", base_path)
+        remove_superseded(spark, f"{gold_db}.{name}", base_path, current, keep)
+    for path in (players, teams):
+        storage.remove(spark, path)
     return list(tables)
 
 
@@ -104,7 +140,7 @@ def run_star(spark: SparkSession, silver_root: str, gold_root: str) -> list[str]
     silver = {name: scan_parquet(spark, f"{silver_root}/{name}") for name in CONTRACTS}
     tables = star_tables(**silver)
     for name, table in tables.items():
-        write_parquet(table, f"{gold_root}/{name}")
+        replace_parquet(table, f"{gold_root}/{name}")
     return list(tables)
 
 
@@ -126,6 +162,8 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--entity", required=True, choices=CONTRACTS)
     load.add_argument("--cutoff", default=CUTOFF)
     load.add_argument("--replace", action="store_true")
+    load.add_argument("--rejects", help="directory for records that do not fit")
+    load.add_argument("--multiline", action="store_true", help="quoted line breaks")
     load.add_argument("--url", help="JDBC url; writes to a database instead of files")
     load.add_argument("--property", action="append", default=[], metavar="KEY=VALUE")
 
@@ -135,6 +173,11 @@ def _parser() -> argparse.ArgumentParser:
     pull.add_argument("--url", required=True)
     pull.add_argument("--property", action="append", default=[], metavar="KEY=VALUE")
     pull.add_argument("--split", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "PARTITIONS"))
+    pull.add_argument("--split-by", nargs=2, metavar=("COLUMN", "PARTITIONS"),
+                      help="bounds are asked from the database, for the new rows only")
+    pull.add_argument("--one-task", action="store_true", help="read a small table in one task")
+    pull.add_argument("--key", action="append", default=[], help="tells repeated rows in a lookback")
+    pull.add_argument("--undated", help="directory for rows without a time")
     pull.add_argument("--newer-by", metavar="COLUMN", help="append rows past the watermark")
     pull.add_argument("--lookback-days", type=float)
     pull.add_argument("--floor", help="a value the watermark is known to have reached")
@@ -159,6 +202,7 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--silver-db", required=True)
     gold.add_argument("--gold-db", required=True)
     gold.add_argument("--base-path", required=True)
+    gold.add_argument("--keep", type=int, default=1, help="earlier publications to keep")
 
     star = jobs.add_parser("star", help="silver directories into dimensions and fact")
     star.add_argument("--silver-root", required=True)
@@ -167,7 +211,9 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _load(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = load_csv(spark, args.csv, CONTRACTS[args.entity], args.cutoff)
+    rows = load_csv(
+        spark, args.csv, CONTRACTS[args.entity], args.cutoff, args.rejects, args.multiline
+    )
     if args.url:
         write = replace_jdbc if args.replace else append_jdbc
         write(rows, args.url, args.target, _pairs(args.property))
@@ -176,15 +222,31 @@ def _load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _import(spark: SparkSession, args: argparse.Namespace) -> None:
-    split = None
+    properties, split = _pairs(args.property), None
     if args.split:
         column, lower, upper, partitions = args.split
         split = Split(column, lower, upper, int(partitions))
-    rows = scan_jdbc(spark, args.url, args.table, _pairs(args.property), split)
+    elif args.split_by:
+        column, partitions = args.split_by
+        after = None
+        if args.newer_by and not args.delimited:
+            after = last_value(spark, args.target, args.newer_by, args.floor)
+        bounds = bounds_query(args.table, column, args.newer_by, after)
+        split = derived_split(spark, args.url, bounds, properties, column, int(partitions))
+    elif not args.one_task:
+        raise SystemExit("give --split-by, --split or, for a small table, --one-task")
+    rows = scan_jdbc(spark, args.url, args.table, properties, split)
     if args.newer_by:
         lookback = timedelta(days=args.lookback_days) if args.lookback_days else None
         incremental_append(
-            rows, args.target, args.newer_by, lookback, args.delimited, args.floor
+            rows,
+            args.target,
+            args.newer_by,
+            lookback,
+            args.delimited,
+            args.floor,
+            args.key,
+            args.undated,
         )
     elif args.delimited:
         write_delimited(rows, args.target)
@@ -213,14 +275,13 @@ def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
     ).show()
     if args.register:
         ensure_database(spark, args.register.split(".")[0])
-        if not spark.catalog.tableExists(args.register):
-            register_external(spark, args.register, args.silver)
+        register_external(spark, args.register, args.silver)
 
 
 def _gold(spark: SparkSession, args: argparse.Namespace) -> None:
     stats = scan_table(spark, args.silver_db, "player_statistics_silver")
     games = scan_table(spark, args.silver_db, "games_silver")
-    print("\n".join(run_gold(stats, games, args.gold_db, args.base_path)))
+    print("\n".join(run_gold(stats, games, args.gold_db, args.base_path, args.keep)))
 
 
 def _star(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -9,7 +9,8 @@ from pyspark.sql.types import IntegerType, LongType
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
-    return [name for name in required if name not in df.columns]
+    available = {name.lower() for name in df.columns}
+    return [name for name in required if name.lower() not in available]
 
 
 def _violations(condition: Column) -> Column:

@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
+from lodeworks.functions.numeric import whole_number
 from lodeworks.functions.temporal import calendar_parts, parsed_timestamp
 from lodeworks.functions.text import NULL_TOKENS, null_if_token
 
@@ -35,15 +36,20 @@ def enforce_types(df: DataFrame, schema: StructType, carry: Iterable[str] = ())
     """Project to the schema's columns and types; unusable values become NULL.
 
     Columns in ``carry`` follow unchanged (file lineage, for one). Values that
-    already have the right type are passed through without a cast.
+    already have the right type are passed through without a cast, and whole numbers
+    written with a fraction lose it.
     """
     actual = {field.name.lower(): field.dataType for field in df.schema.fields}
-    typed = [
-        F.col(field.name).alias(field.name)
-        if actual.get(field.name.lower()) == field.dataType
-        else F.col(field.name).try_cast(field.dataType).alias(field.name)
-        for field in schema.fields
-    ]
+
+    def typed_column(field):
+        column, given = F.col(field.name), actual.get(field.name.lower())
+        if given == field.dataType:
+            return column
+        if isinstance(given, StringType) and isinstance(field.dataType, (IntegerType, LongType)):
+            return whole_number(column, field.dataType)
+        return column.try_cast(field.dataType)
+
+    typed = [typed_column(field).alias(field.name) for field in schema.fields]
     return df.select(*typed, *(F.col(name) for name in carry))
 
 

@@ -28,6 +28,12 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df
 
 
+def resolved(df: DataFrame, name: str) -> str:
+    """The column's name as the table spells it."""
+    require_columns(df, [name])
+    return next(own for own in df.columns if own.lower() == name.lower())
+
+
 def with_policy(
     checks: Sequence[Check], on_invalid: str | None = None, on_unknown: str | None = None
 ) -> tuple[Check, ...]:

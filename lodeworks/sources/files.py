@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from lodeworks.operators.audit import SOURCE_FILE
-from lodeworks.operators.clean import rename_by_position
+from lodeworks.operators.clean import enforce_types, rename_by_position
 
 
 # One fixed-width form, so that timestamps written as text sort in time order and
@@ -32,6 +34,23 @@ def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
+def _fields(sep: str, schema: StructType) -> list[Column]:
+    """Fields of a line, split at separators that no backslash escapes."""
+    # Characters that stand for an escaped backslash and an escaped separator meanwhile.
+    backslash, separator = "\ue000", "\ue001"
+    line = F.replace(F.col("value"), F.lit("\\\\"), F.lit(backslash))
+    line = F.replace(line, F.lit("\\" + sep), F.lit(separator))
+    parts = F.split(line, re.escape(sep), -1)
+
+    def field(i: int) -> Column:
+        text = F.get(parts, F.lit(i))
+        for code, plain in (("\\n", "\n"), ("\\r", "\r"), (separator, sep), (backslash, "\\")):
+            text = F.replace(text, F.lit(code), F.lit(plain))
+        return text
+
+    return [field(i).alias(name) for i, name in enumerate(schema.fieldNames())]
+
+
 def scan_delimited(
     spark: SparkSession,
     path: str,
@@ -41,58 +60,95 @@ def scan_delimited(
 ) -> DataFrame:
     """Headerless delimited text without quoting, columns by position.
 
-    Fields that do not parse as their type become NULL. Since quotes mean
-    nothing, no record spans lines and files stay splittable.
+    Fields that do not parse as their type become NULL, and so do empty ones and those
+    equal to ``null_value``; fields beyond the schema are left out. Separators, line
+    breaks and backslashes within a field are written with a backslash, so no record
+    spans lines and files stay splittable.
     """
-    reader = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", False)
-        .option("mode", "PERMISSIVE")
-        .option("quote", "")
-        .option("timestampFormat", TEXT_TIMESTAMP)
-        .option("timestampNTZFormat", TEXT_TIMESTAMP)
+    texts = spark.read.text(path).select(*_fields(sep, schema))
+    empty = ("",) if null_value is None else ("", null_value)
+    texts = texts.select(
+        *(F.when(~F.col(f"`{n}`").isin(*empty), F.col(f"`{n}`")).alias(n) for n in texts.columns)
+    )
+    return enforce_types(texts, schema)
+
+
+def _quoted(reader: DataFrameReader, multiline: bool) -> DataFrameReader:
+    """Options for quoted fields: a doubled quote within one is one quote."""
+    return reader.option("quote", '"').option("escape", '"').option("multiLine", multiline)
+
+
+def _lenient(schema: StructType) -> StructType:
+    """Whole numbers as text first, since ``9.0`` is one as well."""
+    whole = (IntegerType, LongType)
+    return StructType(
+        [
+            StructField(f.name, StringType() if isinstance(f.dataType, whole) else f.dataType, True)
+            for f in schema.fields
+        ]
     )
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    return reader.csv(path)
 
 
 def scan_headerless_csv(
-    spark: SparkSession, path: str, schema: StructType, null_value: str = "null"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    null_value: str = "null",
+    multiline: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Headerless quoted CSV whose columns are named by position.
 
-    The types are declared instead of inferred, which would read the data twice.
+    The types are declared instead of inferred, which would read the data twice. See
+    ``scan_csv_with_header`` for ``multiline`` and ``corrupt_column``.
     """
-    positional = StructType(
-        [
-            StructField(f"_c{i}", field.dataType, True)
-            for i, field in enumerate(schema.fields)
-        ]
+    reader = spark.read
+    lenient = StructType(
+        [StructField(f"_c{i}", f.dataType, True) for i, f in enumerate(_lenient(schema).fields)]
     )
-    scanned = (
-        spark.read.schema(positional)
-        .option("header", False)
-        .option("nullValue", null_value)
-        .csv(path)
+    carried = [corrupt_column] if corrupt_column else []
+    if corrupt_column:
+        lenient = lenient.add(corrupt_column, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    reader = _quoted(reader.schema(lenient).option("header", False), multiline)
+    rows = reader.option("nullValue", null_value).csv(path)
+    return enforce_types(
+        rename_by_position(rows, [*schema.fieldNames(), *carried]), schema, carried
     )
-    return rename_by_position(scanned, schema.fieldNames())
 
 
 def scan_csv_with_header(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    multiline: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """CSV whose header names the columns.
 
     Only one header line is read up front. Columns found in ``schema`` (in any
-    order) get its types, all others are text. A file whose header differs from
-    that of the first file fails instead of being read under wrong names.
+    order and case) get its names and types, all others are text. A file whose header
+    differs from that of the first file fails instead of being read under wrong names.
+
+    ``multiline`` lets quoted fields hold line breaks, at the price that a file is read by
+    one task. ``corrupt_column`` adds a column with the text of records that do not fit,
+    which otherwise only show as NULLs.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    known = {} if schema is None else {f.name.lower(): f.dataType for f in schema.fields}
+    header = _quoted(spark.read.option("header", True), multiline).csv(path).columns
+    known = {} if schema is None else {f.name.lower(): f for f in schema.fields}
     by_header = StructType(
-        [StructField(name, known.get(name.lower(), StringType()), True) for name in header]
+        [
+            StructField(name, known[name.lower()].dataType if name.lower() in known else StringType())
+            for name in header
+        ]
+    )
+    lenient = _lenient(by_header)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if corrupt_column:
+        lenient = lenient.add(corrupt_column, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    rows = _quoted(reader.schema(lenient), multiline).csv(path)
+    rows = enforce_types(rows, by_header, [corrupt_column] if corrupt_column else [])
+    return rows.withColumnsRenamed(
+        {name: known[name.lower()].name for name in header if name.lower() in known}
     )
-    reader = spark.read.schema(by_header).option("header", True)
-    return reader.option("enforceSchema", False).csv(path)

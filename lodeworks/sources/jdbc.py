@@ -43,6 +43,33 @@ def read_options(
     return options
 
 
+def bounds_query(
+    table: str, column: str, newer_by: str | None = None, after: str | None = None
+) -> str:
+    """SQL for the least and greatest split value of the rows that a run will read."""
+    newer = f" WHERE {newer_by} > '{after}'" if newer_by and after is not None else ""
+    return f"SELECT min({column}) AS low, max({column}) AS high FROM {table}{newer}"
+
+
+def derived_split(
+    spark: SparkSession,
+    url: str,
+    query: str,
+    properties: Mapping[str, str],
+    column: str,
+    partitions: int,
+) -> Split | None:
+    """A split over the bounds the database gives now; none if it has no rows to read.
+
+    Fixed bounds would leave all new rows of an incremental import to the last task.
+    """
+    options = {"url": url, "query": query, **properties}
+    row = spark.read.format("jdbc").options(**options).load().first()
+    if row is None or row[0] is None:
+        return None
+    return Split(column, str(row[0]), str(row[1]), partitions)
+
+
 def scan_jdbc(
     spark: SparkSession,
     url: str,

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from lodeworks.sources import storage
 from lodeworks.sources.files import TEXT_TIMESTAMP
 
 
@@ -39,22 +42,39 @@ def write_parquet(
     writer.parquet(path)
 
 
+def replace_parquet(df: DataFrame, path: str, **layout) -> None:
+    """Replace a directory once the new data is completely written next to it.
+
+    A failed write leaves the old data as it was. The rows may be read from ``path``.
+    """
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}-new-{uuid4().hex}"
+    try:
+        write_parquet(df, fresh, **layout)
+        storage.replace_directory(spark, fresh, path)
+    except BaseException:
+        storage.remove(spark, fresh)
+        raise
+
+
+def _written(df: DataFrame, name: str, sep: str) -> Column:
+    kind = df.schema[name].dataType
+    column = F.col(f"`{name}`")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        text = F.date_format(column, TEXT_TIMESTAMP)
+    else:
+        text = column.cast("string")
+    for plain, code in (("\\", "\\\\"), (sep, "\\" + sep), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return F.coalesce(text, F.lit(""))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
     """Headerless delimited text without quoting; NULL is an empty field.
 
-    The counterpart of ``scan_delimited``. As nothing is quoted, text must not
-    contain the separator.
+    The counterpart of ``scan_delimited``. A backslash stands before separators and
+    backslashes of the text, and line breaks are written as ``\\n`` and ``\\r``, so that
+    a record is one line.
     """
-    (
-        df.write.mode(mode)
-        .option("sep", sep)
-        .option("header", False)
-        .option("quote", "")
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .option("timestampFormat", TEXT_TIMESTAMP)
-        .option("timestampNTZFormat", TEXT_TIMESTAMP)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    fields = [_written(df, name, sep) for name in df.columns]
+    df.select(F.concat_ws(sep, *fields).alias("value")).write.mode(mode).text(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +12,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the session.
 
-    Without the setting a temporary folder is made, but only in local mode,
-    where driver and executors share a disk.
+    Without the setting it lies in the session's warehouse, which is shared as well.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_DIR
     )
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="lodeworks-")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

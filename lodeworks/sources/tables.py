@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lodeworks.sources import storage
 from lodeworks.sources.sinks import write_parquet
 
 
@@ -20,15 +21,50 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A catalog entry over parquet files that stay where they are."""
-    spark.catalog.createTable(name, path=path, source="parquet")
+    """A catalog entry over parquet files that stay where they are.
+
+    On every call the entry is brought up to date with the files: new partitions are
+    added, and an entry whose columns, partitioning or place differ is replaced. Only
+    entries of external data are replaced; a managed table of that name is an error.
+    """
+    files = spark.read.parquet(path)
+    kind = table_type(spark, name)
+    if kind == "MANAGED":
+        raise ValueError(f"{name} is a managed table; dropping it would delete its data")
+    if kind is not None and not (
+        kind == "EXTERNAL"
+        and sorted(_shape(spark.read.table(name).schema)) == sorted(_shape(files.schema))
+        and _location(spark, name) == path.removeprefix("file:").rstrip("/")
+    ):
+        spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
+        kind = None
+    if kind is None:
+        spark.catalog.createTable(name, path=path, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
     return spark.read.table(name)
 
 
+def table_type(spark: SparkSession, name: str) -> str | None:
+    """MANAGED, EXTERNAL or VIEW; none if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return spark.catalog.getTable(name).tableType
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].removeprefix("file:").rstrip("/") if rows else ""
+
+
 def register_delimited(
     spark: SparkSession, name: str, path: str, schema: StructType, sep: str = ","
 ) -> DataFrame:
-    """A catalog entry with a fixed schema over headerless delimited text."""
+    """A catalog entry with a fixed schema over headerless delimited text.
+
+    Entries read plain fields only; files with escaped separators need ``scan_delimited``.
+    """
     spark.catalog.createTable(
         name, path=path, source="csv", schema=schema, sep=sep, quote="", header="false"
     )
@@ -46,27 +82,44 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
 def publish_table(df: DataFrame, name: str, base_path: str) -> str:
     """Replace a table without a moment in which it is missing or half written.
 
-    Data goes to a new directory below ``base_path`` and the catalog entry is
-    pointed at it once the write has succeeded. A failed run leaves the previous
-    contents in place. Superseded directories are left to storage lifecycle
-    rules. Returns the directory the table now reads.
+    Data goes to a new directory below ``base_path``. Once the write has succeeded the
+    name, a view over the directory, is pointed at it in one catalog operation, whether
+    the columns changed or not. A failed run leaves the previous contents in place. A
+    managed table of that name is an error, as its data would be lost; an external one
+    is dropped (its files stay) before the first view is made. Superseded directories
+    stay for readers that began before the switch, see ``remove_superseded``. Returns
+    the directory that the name now reads.
     """
     spark = df.sparkSession
-    location = f"{base_path.rstrip('/')}/{name.split('.')[-1]}/{uuid4().hex}"
+    kind = table_type(spark, name)
+    if kind == "MANAGED":
+        raise ValueError(f"{name} is a managed table; dropping it would delete its data")
+    location = f"{_versions(name, base_path)}/{uuid4().hex}"
     write_parquet(df, location)
-    if not spark.catalog.tableExists(name):
-        register_external(spark, name, location)
-        return location
-    written = spark.read.parquet(location).schema
-    if _shape(spark.read.table(name).schema) == _shape(written):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(name)
-    else:
-        # Dropping an external table removes the catalog entry only.
+    if kind == "EXTERNAL":
         spark.sql(f"DROP TABLE {name}")
-        register_external(spark, name, location)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{location}`")
     return location
 
 
+def _versions(name: str, base_path: str) -> str:
+    return f"{base_path.rstrip('/')}/{name.split('.')[-1]}"
+
+
+def remove_superseded(
+    spark: SparkSession, name: str, base_path: str, current: str, keep: int = 1
+) -> list[str]:
+    """Delete directories that publications of ``name`` before ``current`` have left.
+
+    The ``keep`` newest of them stay for running readers. Returns what was deleted.
+    """
+    own = current.rstrip("/").rsplit("/", 1)[-1]
+    old = [x for x in storage.children(spark, _versions(name, base_path)) if x.rsplit("/", 1)[-1] != own]
+    gone = old[: len(old) - keep] if keep else old
+    for path in gone:
+        storage.remove(spark, path)
+    return gone
+
+
 def _shape(schema) -> list[tuple[str, str]]:
     return [(field.name, field.dataType.simpleString()) for field in schema.fields]

@@ -83,11 +83,11 @@ class Role:
         return f"SELECT {listed} FROM {self.base} {' '.join(joins)}"
 
 
-def _counts(names: str, start: int) -> dict[str, str]:
+def _counts(names: tuple[str, ...], start: int) -> dict[str, str]:
     """Whole numbers as text, each column with its own spread."""
     return {
         name: f"CAST((l_partkey + {i}) % {7 + i} AS STRING)"
-        for i, name in enumerate(names.split(), start)
+        for i, name in enumerate(names, start)
     }
 
 
@@ -340,22 +340,43 @@ BRONZE_TEAM_STATISTICS = Role(
             "ELSE CAST(CAST(l_quantity AS INT) AS STRING) END"
         ),
         "opponentScore": "CAST(p_size AS STRING)",
-        **_counts("assists blocks steals", 0),
+        **_counts(("assists", "blocks", "steals"), 0),
         "fieldGoalsAttempted": "CAST(l_suppkey % 20 AS STRING)",
         "fieldGoalsMade": "CAST(l_suppkey % 10 AS STRING)",
         "fieldGoalsPercentage": (
             "CASE WHEN l_partkey % 19 = 0 THEN 'half' ELSE CAST(l_partkey % 103 AS STRING) END"
         ),
-        **_counts("threePointersAttempted threePointersMade", 3),
+        **_counts(("threePointersAttempted", "threePointersMade"), 3),
         "threePointersPercentage": "CAST(l_suppkey % 100 AS STRING) || '.5'",
-        **_counts("freeThrowsAttempted freeThrowsMade", 5),
+        **_counts(("freeThrowsAttempted", "freeThrowsMade"), 5),
         "freeThrowsPercentage": "CAST(l_linenumber * 10 AS STRING)",
         **_counts(
-            "reboundsDefensive reboundsOffensive reboundsTotal foulsPersonal turnovers "
-            "plusMinusPoints numMinutes q1Points q2Points q3Points q4Points benchPoints "
-            "biggestLead biggestScoringRun leadChanges pointsFastBreak pointsFromTurnovers "
-            "pointsInThePaint pointsSecondChance timesTied timeoutsRemaining seasonWins "
-            "seasonLosses coachId",
+            (
+                "reboundsDefensive",
+                "reboundsOffensive",
+                "reboundsTotal",
+                "foulsPersonal",
+                "turnovers",
+                "plusMinusPoints",
+                "numMinutes",
+                "q1Points",
+                "q2Points",
+                "q3Points",
+                "q4Points",
+                "benchPoints",
+                "biggestLead",
+                "biggestScoringRun",
+                "leadChanges",
+                "pointsFastBreak",
+                "pointsFromTurnovers",
+                "pointsInThePaint",
+                "pointsSecondChance",
+                "timesTied",
+                "timeoutsRemaining",
+                "seasonWins",
+                "seasonLosses",
+                "coachId",
+            ),
             7,
         ),
     },
