@@ -20,7 +20,7 @@ from lodeworks.operators.clean import (
 from lodeworks.operators.derive import derive
 from lodeworks.plans.gold import with_player_name
 from workload import roles
-from workload.silver_queries import AS_OF, null_tokens, replacing, title_case
+from workload.silver_queries import AS_OF, null_tokens, number, replacing, title_case
 
 _GAMES, _PLAYERS = roles.BRONZE_GAMES, roles.BRONZE_PLAYERS
 _LINES, _TEAMS = roles.BRONZE_PLAYER_STATISTICS, roles.BRONZE_TEAM_STATISTICS
@@ -46,10 +46,11 @@ def _cast(contract, role):
 
 
 def cast_sql(contract, role):
-    kinds = {"bigint": "BIGINT", "int": "INT", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "int": "INT", "double": "DOUBLE"}
     typed = ", ".join(
-        f"try_cast({field.name} AS {kinds[field.dataType.simpleString()]}) AS {field.name}"
+        f"{number(field.name, kinds[kind]) if kind in kinds else field.name} AS {field.name}"
         for field in contract.bronze.fields
+        for kind in (field.dataType.simpleString(),)
     )
     return f"SELECT {typed} FROM ({role.sql()}) AS b"
 
@@ -111,7 +112,7 @@ def _points_per_minute(spark, sf_dir):
 
 
 _RATIO_INPUTS = {
-    name: f"try_cast({name} AS INT)"
+    name: number(name, "INT")
     for name in ("teamScore", "opponentScore", "fieldGoalsMade", "fieldGoalsAttempted")
 }
 
@@ -228,7 +229,7 @@ ORACLE = {
                CASE WHEN fieldGoalsAttempted > 0
                     THEN CAST(fieldGoalsMade AS DOUBLE) / fieldGoalsAttempted
                END AS shooting_efficiency
-        FROM (SELECT try_cast(gameId AS BIGINT) AS gameId, {replacing(_RATIO_INPUTS)}
+        FROM (SELECT {number("gameId", "BIGINT")} AS gameId, {replacing(_RATIO_INPUTS)}
               FROM ({_TEAMS.sql()}) AS b) AS typed""",
     "derive_player_name": f"""
         SELECT *, concat_ws(' ', firstName, lastName) AS "playerName"

@@ -197,6 +197,8 @@ BRONZE_GAMES = Role(
         "seriesgamenumber": "l_linenumber",
         "season": (
             "CASE WHEN l_partkey % 37 = 0 THEN NULL WHEN l_partkey % 37 = 1 THEN '19xx' "
+            "WHEN l_partkey % 37 = 2 "
+            "THEN CAST(CAST(extract(YEAR FROM l_shipdate) AS INT) AS STRING) || '.0' "
             "ELSE CAST(CAST(extract(YEAR FROM l_shipdate) AS INT) AS STRING) END"
         ),
     },
@@ -237,7 +239,10 @@ BRONZE_PLAYERS = Role(
             "ELSE CAST(1990 + o_orderkey % 30 AS STRING) END"
         ),
         "draftRound": "CASE WHEN o_orderkey % 9 = 0 THEN 'NA' ELSE '1' END",
-        "draftNumber": "CAST(o_orderkey % 60 AS STRING)",
+        "draftNumber": (
+            "CASE WHEN o_orderkey % 8 = 3 THEN CAST(o_orderkey % 60 AS STRING) || '.7' "
+            "WHEN o_orderkey % 8 = 4 THEN '1e1x' ELSE CAST(o_orderkey % 60 AS STRING) END"
+        ),
     },
 )
 
@@ -314,6 +319,7 @@ BRONZE_TEAM_HISTORIES = Role(
         ),
         "seasonActiveTill": (
             "CASE WHEN c_custkey % 5 = 0 THEN NULL "
+            "WHEN c_custkey % 5 = 1 THEN CAST(1950 + c_custkey % 100 AS STRING) || '.0' "
             "ELSE CAST(1950 + c_custkey % 100 AS STRING) END"
         ),
         "league": "' ' || lower(r_name)",
@@ -323,13 +329,21 @@ BRONZE_TEAM_HISTORIES = Role(
 BRONZE_TEAM_STATISTICS = Role(
     "lineitem",
     {
-        "gameId": "CASE WHEN l_partkey % 67 = 0 THEN 'x1' ELSE CAST(l_orderkey AS STRING) END",
+        "gameId": (
+            "CASE WHEN l_partkey % 67 = 0 THEN 'x1' "
+            "WHEN l_partkey % 67 = 1 THEN CAST(l_orderkey AS STRING) || '.0' "
+            "ELSE CAST(l_orderkey AS STRING) END"
+        ),
         "gameDateTimeEst": (
             "CASE WHEN l_partkey % 73 = 0 THEN 'nul' ELSE CAST(l_shipdate AS STRING) END"
         ),
         "teamCity": "' ' || lower(home_name)",
         "teamName": "CASE WHEN l_orderkey % 43 = 0 THEN 'NULL' ELSE lower(home_name) || ' ' END",
-        "teamId": "CASE WHEN l_partkey % 61 = 0 THEN '' ELSE CAST(s_nationkey AS STRING) END",
+        "teamId": (
+            "CASE WHEN l_partkey % 61 = 0 THEN '' "
+            "WHEN l_partkey % 61 = 1 THEN CAST(s_nationkey AS STRING) || '.0' "
+            "ELSE CAST(s_nationkey AS STRING) END"
+        ),
         "opponentTeamCity": "'opp ' || lower(home_name)",
         "opponentTeamName": "' rival of ' || lower(home_name)",
         "opponentTeamId": "CAST((s_nationkey + 1) % 25 AS STRING)",
@@ -339,7 +353,10 @@ BRONZE_TEAM_STATISTICS = Role(
             "CASE WHEN l_partkey % 53 = 0 THEN 'n/a' WHEN l_partkey % 53 = 1 THEN '-7' "
             "ELSE CAST(CAST(l_quantity AS INT) AS STRING) END"
         ),
-        "opponentScore": "CAST(p_size AS STRING)",
+        "opponentScore": (
+            "CASE WHEN l_partkey % 59 = 1 THEN CAST(p_size AS STRING) || '.7' "
+            "ELSE CAST(p_size AS STRING) END"
+        ),
         **_counts(("assists", "blocks", "steals"), 0),
         "fieldGoalsAttempted": "CAST(l_suppkey % 20 AS STRING)",
         "fieldGoalsMade": "CAST(l_suppkey % 10 AS STRING)",

@@ -49,6 +49,15 @@ def _pair(name, build, keep=()):
 # -- SQL helpers -----------------------------------------------------------
 
 
+def number(text: str, kind: str) -> str:
+    """A number from text; whole numbers lose a fraction instead of being rounded."""
+    if kind == "DOUBLE":
+        return f"try_cast({text} AS DOUBLE)"
+    return f"""CASE WHEN regexp_full_match(CAST({text} AS VARCHAR), '\\s*[+-]?[0-9]+[.][0-9]*\\s*')
+                THEN try_cast(trunc(try_cast({text} AS DECIMAL(38, 10))) AS {kind})
+                ELSE try_cast({text} AS {kind}) END"""
+
+
 def null_tokens(column: str) -> str:
     return f"CASE WHEN {column} IN ('nul', 'NULL', 'NA', '') THEN NULL ELSE {column} END"
 
@@ -135,7 +144,7 @@ _GAMES_SQL = _games_sql(_GAME_COLUMNS, "game_year")
 _GAMES_ORDER = newest_first("game_ts", *_GAME_COLUMNS[1:])
 _SEASON_COLUMNS = tuple(roles.BRONZE_GAMES.columns)
 _SEASON_SQL = _games_sql(
-    _SEASON_COLUMNS, "season", ", try_cast(season AS INT) AS season"
+    _SEASON_COLUMNS, "season", f", {number('season', 'INT')} AS season"
 )
 
 # -- players ---------------------------------------------------------------
@@ -152,7 +161,7 @@ _PLAYERS_SQL = f"""
     WITH bronze AS ({roles.BRONZE_PLAYERS.sql()}),
     typed AS (
         SELECT * REPLACE ({replacing({
-            **{n: f"try_cast({null_tokens(n)} AS {t})" for n, t in _PLAYER_NUMBERS.items()},
+            **{n: number(null_tokens(n), t) for n, t in _PLAYER_NUMBERS.items()},
             "firstName": title_case(f"trim({null_tokens('firstName')})"),
             "lastName": title_case(f"trim({null_tokens('lastName')})"),
             "birthdate": f"trim({null_tokens('birthdate')})",
@@ -256,12 +265,12 @@ _HISTORIES_SQL = f"""
     WITH bronze AS ({roles.BRONZE_TEAM_HISTORIES.sql()}),
     typed AS (
         SELECT * REPLACE ({replacing({
-            "teamId": f"try_cast({null_tokens('teamId')} AS BIGINT)",
+            "teamId": number(null_tokens("teamId"), "BIGINT"),
             "teamCity": title_case(f"trim({null_tokens('teamCity')})"),
             "teamName": f"upper(trim({null_tokens('teamName')}))",
             "teamAbbrev": f"upper(trim({null_tokens('teamAbbrev')}))",
-            "seasonFounded": f"try_cast({null_tokens('seasonFounded')} AS INT)",
-            "seasonActiveTill": f"try_cast({null_tokens('seasonActiveTill')} AS INT)",
+            "seasonFounded": number(null_tokens("seasonFounded"), "INT"),
+            "seasonActiveTill": number(null_tokens("seasonActiveTill"), "INT"),
             "league": f"upper(trim({null_tokens('league')}))",
         })}) FROM bronze
     ),
@@ -302,7 +311,7 @@ def _team_column(name: str) -> str:
     if name == "gameDateTimeEst":
         return value
     kind = "BIGINT" if name in _TEAM_LONGS else "DOUBLE" if name in _TEAM_DOUBLES else "INT"
-    return f"try_cast({value} AS {kind})"
+    return number(value, kind)
 
 
 _TEAMS_SQL = f"""
