@@ -32,30 +32,47 @@ FILE_SCHEMA = (
 )
 
 
+def _small_lengths() -> np.ndarray:
+    return np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
+_LENGTHS = _small_lengths()
+
+
+def bit_lengths(values: np.ndarray) -> np.ndarray:
+    """Bits of each unsigned value: 0 for 0, 1 for 1, 2 for 2 and 3, ..."""
+    if not values.size or values.max() < len(_LENGTHS):
+        return _LENGTHS[values]
+    bits = np.zeros(values.shape, np.uint8)
+    for shift in range(0, 8 * values.dtype.itemsize, 16):
+        part = (values >> values.dtype.type(shift)) & values.dtype.type(0xFFFF)
+        np.putmask(bits, part > 0, _LENGTHS[part] + np.uint8(shift))
+    return bits
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words for ids (any unsigned 64-bit values), and the number of words of each chunk."""
-    ids = np.asarray(ids, np.uint64)
+    ids = np.asarray(ids)
     rows = -(-len(ids) // CHUNK)
-    lanes = np.zeros((rows, CHUNK + COUNTS[0]), np.uint64)
-    full = np.zeros(rows * CHUNK, np.uint64)
+    kind = np.uint32 if len(ids) and ids.max() < 1 << 32 else np.uint64
+    lanes = np.zeros((rows, CHUNK + COUNTS[0]), kind)
+    full = np.zeros(rows * CHUNK, kind)
     full[: len(ids)] = ids
     lanes[:, :CHUNK] = full.reshape(rows, CHUNK)
     size = np.full(rows, CHUNK)
     if rows:
         size[-1] = len(ids) - (rows - 1) * CHUNK
-    # The largest bit length among the next n ids, for growing n.
-    bits = np.zeros(lanes.shape, np.uint8)
-    for k in (32, 16, 8, 4, 2, 1):
-        high = (lanes >> bits.astype(np.uint64)) >= np.uint64(1) << np.uint64(k)
-        bits += (high * k).astype(np.uint8)
-    bits += lanes > 0
+    # The largest bit length among the next n ids, for growing n: each count is at most
+    # twice the one before, so two overlapping stretches of that length cover it.
+    widest = bit_lengths(lanes)
     selector = np.full(lanes.shape, ESCAPE, np.uint8)
-    widest, reach = bits.copy(), 1
+    reach = 1
     for s in range(len(COUNTS) - 1, -1, -1):
-        for step in range(reach, COUNTS[s]):
-            widest[:, :-step] = np.maximum(widest[:, :-step], bits[:, step:])
+        step = COUNTS[s] - reach
+        if step:
+            widest[:, :-step] = np.maximum(widest[:, :-step], widest[:, step:])
         reach = COUNTS[s]
-        selector[widest <= 60 // COUNTS[s]] = s
+        np.putmask(selector, widest <= 60 // COUNTS[s], np.uint8(s))
     # Greedy walk, one word of every chunk at a time.
     takes = np.ones(16, np.int64)
     takes[:14] = COUNTS
@@ -82,7 +99,8 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             words[out + 1] = lanes[lane[rows_s], place[rows_s]]
             continue
         for j in range(COUNTS[s]):
-            words[out] |= lanes[lane[rows_s], place[rows_s] + j] << np.uint64(j * (60 // COUNTS[s]))
+            part = lanes[lane[rows_s], place[rows_s] + j].astype(np.uint64)
+            words[out] |= part << np.uint64(j * (60 // COUNTS[s]))
     return words, np.bincount(lane, lengths, rows).astype(np.int64)
 
 

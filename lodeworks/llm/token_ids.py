@@ -1,9 +1,12 @@
 """Token ids of whole texts from a public tokenizer file.
 
-Both vocabularies in use split text at white space before they merge, so a text's
-ids are the ids of its pieces (a run of white space and the word behind it), end to
-end. A worker therefore encodes each distinct piece once and keeps a bounded store
-of those it has seen. Texts with white space outside ASCII go to the tokenizer whole.
+Both vocabularies in use split text before they merge: in front of white space, and
+between letters and punctuation. A text's ids are therefore the ids of its pieces
+(a run of white space with the word behind it, or a run of punctuation), end to end. A
+worker encodes each distinct piece once and keeps a bounded store of those it has
+seen. Cuts are made between ASCII characters only, and none behind an apostrophe,
+which may start a contraction; texts with white space outside ASCII go to the
+tokenizer whole.
 """
 
 from __future__ import annotations
@@ -15,13 +18,27 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from lodeworks.llm.common import ragged, text_bytes
+from lodeworks.llm.words import LOWER
 
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[65:91] = ASCII_LETTER[97:123] = True
+ASCII_POINT = np.zeros(256, bool)
+ASCII_POINT[33:127] = True
+ASCII_POINT[48:58] = False
+ASCII_POINT &= ~ASCII_LETTER
+POINT_BEFORE = ASCII_POINT.copy()
+POINT_BEFORE[39] = False
 OTHER_SPACE = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Distinct pieces a worker keeps (about 60 MB) before it starts afresh.
 STORED_PIECES = 1_200_000
 
+#: Lower-case letters of ASCII and Latin-1, each a letter by itself in any normal form.
+LETTER_RUN = r"^ ?[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
+#: A control character that separates pieces encoded in one call.
+MARK = "\x01"
+
 _encoders: dict[str, PieceEncoder] = {}
 
 
@@ -40,8 +57,44 @@ class PieceEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         # A control token's name inside a text is ordinary text.
         self._tokenizer.encode_special_tokens = True
+        ids = lambda x: self._tokenizer.encode(x, add_special_tokens=False).ids
+        self._drops_space = ids(" a\n. b ") == ids("a . b")
+        self._lowers = ids("A") == ids("a") and ids("ZQ") == ids("zq")
+        self._separator = f" {MARK} " if self._drops_space else f" {MARK}"
+        self._separator_ids = ids(self._separator)
+        self._words = self._word_model() if self._drops_space and self._lowers else None
         self._forget()
 
+    def _word_model(self):
+        """The tokenizer's model behind a split at line ends alone, and which ids end a word.
+
+        For lower-case letter runs the file's normalizer and pattern change nothing, but
+        take most of the time. None if the vocabulary does not mark the ends of words.
+        """
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        words = Tokenizer(self._tokenizer.model)
+        words.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.CharDelimiterSplit("\n"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self._tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return words, ends
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of ``LETTER_RUN`` letters, with or without a blank before them."""
+        model, ends = self._words
+        text = "\n".join(words).replace(" ", "")
+        ids = np.array(model.encode(text, add_special_tokens=False).ids, np.int32)
+        return ids, np.diff(np.flatnonzero(ends[ids]), prepend=-1)
+
     def _forget(self) -> None:
         self._pieces = pa.array([], pa.large_string())
         self._ids = np.zeros(0, np.int32)
@@ -52,24 +105,68 @@ class PieceEncoder:
             x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for x in found for i in x), np.int32, int(counts.sum()))
+        ids = np.concatenate([np.array(x, np.int32) for x in found] or [np.zeros(0, np.int32)])
         return ids, counts
 
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that do not hold the mark and, unless the tokenizer drops
+        white space, begin with it.
+
+        Behind each piece stand a blank and the mark, which no piece merges with, so that
+        one call encodes many pieces and the mark's id tells them apart.
+        """
+        text = self._separator.join([*pieces, ""])
+        ids = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+        marks = np.flatnonzero(ids == self._separator_ids[-1])
+        extra = len(self._separator_ids)
+        counts = np.diff(marks, prepend=-1) - extra
+        kept = np.ones(len(ids), bool)
+        for back in range(extra):
+            kept[marks - back] = False
+        return ids[kept], counts
+
     def _learn(self, pieces: pa.Array) -> None:
-        for first in range(0, len(pieces), 50_000):
-            part = pieces.slice(first, 50_000)
-            ids, counts = self._plain(part.to_pylist())
-            self._pieces = pa.concat_arrays([self._pieces, part])
-            self._ids = np.concatenate((self._ids, ids))
-            self._ends = np.concatenate((self._ends, self._ends[-1] + np.cumsum(counts)))
+        texts = pieces.to_pylist()
+        simple = np.array([(self._drops_space or x[0] in " \n\t\r") and MARK not in x for x in texts])
+        letters = np.zeros(len(texts), bool)
+        if self._words:
+            letters = pc.match_substring_regex(pieces, LETTER_RUN).to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(texts), np.int64)
+        parts, order = [], []
+        for kind, way in ((letters, self._letters), (simple & ~letters, self._joined)):
+            rows = np.flatnonzero(kind)
+            for first in range(0, len(rows), 2000):
+                some = rows[first : first + 2000]
+                ids, counts[some] = way([texts[k] for k in some])
+                parts.append(ids)
+                order.append(some)
+        others = np.flatnonzero(~simple & ~letters)
+        ids, counts[others] = self._plain([texts[k] for k in others])
+        parts.append(ids)
+        order = np.concatenate((*order, others))
+        begins = np.zeros(len(texts), np.int64)
+        begins[order] = np.cumsum(counts[order]) - counts[order]
+        new = np.concatenate(parts)[ragged(begins, counts)]
+        self._pieces = pa.concat_arrays([self._pieces, pieces])
+        self._ids = np.concatenate((self._ids, new))
+        self._ends = np.concatenate((self._ends, self._ends[-1] + np.cumsum(counts)))
 
     def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(texts)
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         space = ASCII_SPACE[data]
+        if self._drops_space:
+            data = np.where(space, np.uint8(32), data)
+        if self._lowers:
+            data = LOWER[data]
+        letter = ASCII_LETTER[data]
         starts = np.zeros(len(data), bool)
-        starts[1:] = space[1:] & ~space[:-1]
+        starts[1:] = (
+            (space[1:] & ~space[:-1])
+            | (letter[:-1] & ASCII_POINT[data[1:]])
+            | (POINT_BEFORE[data[:-1]] & letter[1:])
+        )
         starts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         starts = np.flatnonzero(starts)
         pieces = pa.LargeStringArray.from_buffers(
@@ -79,13 +176,16 @@ class PieceEncoder:
         )
         coded = pieces.dictionary_encode()
         known = pc.index_in(coded.dictionary, value_set=self._pieces)
-        if known.null_count:
-            if len(self._pieces) + known.null_count > STORED_PIECES:
-                self._forget()
-                known = pc.index_in(coded.dictionary, value_set=self._pieces)
-            self._learn(coded.dictionary.filter(pc.is_null(known)))
+        if len(self._pieces) + known.null_count > STORED_PIECES:
+            self._forget()
             known = pc.index_in(coded.dictionary, value_set=self._pieces)
-        places = known.to_numpy()[coded.indices.to_numpy()]
+        places = pc.fill_null(known, -1).to_numpy()
+        new = places < 0
+        if new.any():
+            places = places.copy()
+            places[new] = len(self._pieces) + np.arange(np.count_nonzero(new))
+            self._learn(coded.dictionary.filter(pa.array(new)))
+        places = places[coded.indices.to_numpy()]
         counts = (self._ends[1:] - self._ends[:-1])[places]
         ids = self._ids[ragged(self._ends[:-1][places], counts)]
         ends = np.concatenate(([0], np.cumsum(counts)))
