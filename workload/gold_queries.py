@@ -126,6 +126,27 @@ def _points_from_seasons(spark, sf_dir):
     return gold.player_per_game_from_seasons(seasons, "points")
 
 
+def _from_seasons(table):
+    """A table of the set that the gold job publishes."""
+
+    def query(spark, sf_dir):
+        stats = _stats(spark, sf_dir, "game_year", *_ALL_MEASURES)
+        return gold.gold_tables_from_seasons(
+            staged(gold.player_seasons(stats), "player-seasons"),
+            staged(gold.team_seasons(_games(spark, sf_dir)), "team-seasons"),
+        )[table]
+
+    return query
+
+
+#: Published tables and the queries that have the same rows.
+_PUBLISHED = {
+    **{gold.PER_GAME_TABLE.format(m): f"player_{m}_per_game" for m in gold.MEASURES},
+    **{gold.PER_SEASON_TABLE.format(m): f"player_total_{m}_per_season" for m in gold.MEASURES},
+    gold.WIN_TABLE: "team_win_percentage",
+    gold.DOUBLE_DIGIT_TABLE: "team_double_digit_wins",
+}
+
 QUERIES = {
     **{f"player_{m}_per_game": _per_game(m) for m in gold.MEASURES},
     **{f"player_total_{m}_per_season": _per_season(m) for m in gold.MEASURES},
@@ -140,6 +161,7 @@ QUERIES = {
     "slice_summary": _slice(gold.slice_summary),
     "gold_set_row_counts": _gold_set_counts,
     "player_points_per_game_from_seasons": _points_from_seasons,
+    **{f"published_{table}": _from_seasons(table) for table in _PUBLISHED},
 }
 
 ORACLE = {
@@ -163,3 +185,4 @@ ORACLE = {
     "gold_set_row_counts": _gold_set_counts_sql(),
     "player_points_per_game_from_seasons": _per_game_sql("points"),
 }
+ORACLE |= {f"published_{table}": ORACLE[same] for table, same in _PUBLISHED.items()}

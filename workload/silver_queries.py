@@ -18,6 +18,7 @@ from lodeworks.contracts import (
 )
 from lodeworks.operators.dedup import keep_latest
 from lodeworks.plans.silver import build_silver
+from lodeworks.sources.files import with_lineage
 from workload import roles
 
 AS_OF = date(2024, 6, 30)
@@ -362,6 +363,16 @@ def _dedup_games(spark, sf_dir):
     return keep_latest(games, ("gameid",), ("game_ts",), _DEDUP_TIES)
 
 
+def _lineage_through_dedup(spark, sf_dir):
+    """The file of each row that survives the dedup."""
+    bronze = with_lineage(roles.load(spark, sf_dir, "lineitem"))
+    bronze = bronze.selectExpr(
+        "l_orderkey AS gameid", "l_shipdate AS game_ts", "l_linenumber", "l_partkey", "source_file"
+    )
+    kept = keep_latest(bronze, ("gameid",), ("game_ts",), ("l_linenumber", "l_partkey", "source_file"))
+    return kept.selectExpr("gameid", "game_ts", "element_at(split(source_file, '/'), -1) AS file_name")
+
+
 def _dedup_histories(spark, sf_dir):
     rows = roles.BRONZE_TEAM_HISTORIES.frame(spark, sf_dir)
     return keep_latest(rows, ("teamId",), ("seasonActiveTill", "seasonFounded"), _HISTORY_TIES)
@@ -369,6 +380,7 @@ def _dedup_histories(spark, sf_dir):
 
 silver_team_statistics = tables(roles.BRONZE_TEAM_STATISTICS, TEAM_STATISTICS)
 silver_games = tables(roles.BRONZE_GAMES, GAMES, _GAME_COLUMNS)
+silver_player_statistics = tables(roles.BRONZE_PLAYER_STATISTICS, PLAYER_STATISTICS)
 silver_players = tables(roles.BRONZE_PLAYERS, PLAYERS)
 silver_histories = tables(roles.BRONZE_TEAM_HISTORIES, TEAM_HISTORIES)
 _strict_games = tables(roles.BRONZE_GAMES, GAMES, _GAME_COLUMNS,
@@ -378,7 +390,7 @@ _strict_teams = tables(roles.BRONZE_TEAM_STATISTICS, TEAM_STATISTICS, on_unknown
 QUERIES = {
     **_pair("games", silver_games),
     **_pair("players", silver_players, keep=("silver_ingest_ts",)),
-    **_pair("player_statistics", tables(roles.BRONZE_PLAYER_STATISTICS, PLAYER_STATISTICS)),
+    **_pair("player_statistics", silver_player_statistics),
     **_pair("team_histories", silver_histories, keep=("quarantine_ts",)),
     **_pair("team_statistics", silver_team_statistics),
     "silver_games_by_season": _pair(
@@ -387,10 +399,14 @@ QUERIES = {
     "quarantine_games_strict": _pair("x", _strict_games)["quarantine_x"],
     "quarantine_team_statistics_strict": _pair("x", _strict_teams)["quarantine_x"],
     "dedup_games": _dedup_games,
+    "dedup_lineage": _lineage_through_dedup,
     "dedup_team_histories": _dedup_histories,
 }
 
 ORACLE = {
+    "dedup_lineage": """
+        SELECT l_orderkey AS gameid, max(l_shipdate) AS game_ts, 'lineitem.parquet' AS file_name
+        FROM lineitem GROUP BY l_orderkey""",
     "silver_games": _GAMES_SQL + _latest_sql("gameid", _GAMES_ORDER, _GAMES_OUT),
     "quarantine_games": f"""{_GAMES_SQL}
         SELECT * EXCLUDE (keyless, plausible), 'MISSING_KEY_FIELDS' AS quarantine_reason
