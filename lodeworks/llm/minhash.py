@@ -7,8 +7,9 @@ xor, or and bit counts tell how many minima agree, from which a similarity corre
 chance agreement is estimated. What passes is confirmed on the full sets.
 
 A bucket is not expanded into pairs. Its members are first linked to its smallest and
-largest member. Only members that are then still in different components meet, and of
-those only the pairs that pass the estimate leave the join.
+largest member. Of members that are then still in different components, those whose
+estimate allows a link across are compared in tiles, and only links that join components
+leave a tile.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from lodeworks.llm.words import LOWER, words
 
 #: A pair at similarity 0.85 shares none of the 24 bands with a probability of 2e-8.
 MINIMA, BAND, BITS = 96, 4, 4
+#: Classes, and shingles of all of them, that a tile of a group holds on average.
+TILE_CLASSES, TILE_SHINGLES = 512, 1 << 20
 #: Probability that a pair at the threshold fails the estimate.
 MISSED = 1e-8
 WORD_BYTES = np.ones(256, bool)
@@ -215,6 +218,100 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _joining_links(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that join components, found on the full sets of each group.
+
+    A group is cut into tiles of bounded size and every tile meets every other one in a
+    task. There all pairs are compared, and of those similar enough only the ones that join
+    two components are returned: fewer than there are classes, whatever the pairs.
+    """
+    sizes = candidates.groupBy("low").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    tiles = F.greatest(
+        F.ceil(F.col("n") / TILE_CLASSES), F.ceil(F.col("total") / TILE_SHINGLES)
+    ).cast("int")
+    own = F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int")
+    cells = (
+        candidates.join(sizes.select("low", tiles.alias("tiles")), "low")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select(
+            "low",
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            "class",
+            "component",
+        )
+        .join(sets, "class")
+        .repartition("low", "i", "j")
+        .sortWithinPartitions("low", "i", "j")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = None
+        for batch in batches:
+            columns = np.stack([batch.column(c).to_numpy() for c in ("low", "i", "j")], axis=1)
+            cuts = np.flatnonzero((np.diff(columns, axis=0) != 0).any(axis=1)) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if held and tuple(columns[a]) != key:
+                    yield _spanning(held, percent)
+                    held = []
+                key = tuple(columns[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield _spanning(held, percent)
+
+    return cells.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _spanning(parts: list[pa.RecordBatch], percent: int) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(parts)
+    classes, component = rows["class"].to_numpy(), rows["component"].to_numpy()
+    lists = rows["shingles"].combine_chunks()
+    values = lists.flatten().to_numpy()
+    sizes = np.diff(lists.offsets.to_numpy())
+    shared = common_counts(values, sizes)
+    similar = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+    similar &= component[:, None] != component[None, :]
+    top: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in top:
+            x = top[x]
+        return x
+
+    links = []
+    for a, b in zip(*np.nonzero(np.triu(similar, 1))):
+        u, v = root(int(component[a])), root(int(component[b]))
+        if u != v:
+            top[u] = v
+            links.append((classes[a], classes[b]))
+    ends = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_pydict({"a": ends[:, 0].copy(), "b": ends[:, 1].copy()})
+
+
+def common_counts(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many values each two of the sets share, as products of membership matrices."""
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(values) else np.zeros(0, bool)
+    column = np.cumsum(new) - 1
+    # Values of one set alone are shared with nobody.
+    often = np.bincount(column) > 1
+    column = (np.cumsum(often) - 1)[column[often[column]]] if len(values) else column
+    member = owner[order][often[np.cumsum(new) - 1]] if len(values) else owner
+    shared = np.zeros((n, n), np.float64)
+    width = 8192
+    for first in range(0, int(often.sum()), width):
+        a, b = np.searchsorted(column, (first, first + width))
+        matrix = np.zeros((n, width), np.float32)
+        matrix[member[a:b], column[a:b] - first] = 1
+        shared += matrix @ matrix.T
+    return shared.astype(np.int64)
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``doc_id, text``.
 
@@ -266,36 +363,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
     links = staged(_confirmed(star, sets, percent), "links")
 
-    # Members of a bucket that the first links left apart.
+    # Groups that the first links left in several components. All classes of a bucket share
+    # its smallest class, so pairs of a bucket are pairs of a group.
     first = components(links)
     placed = (
-        members.select("bucket", "class")
+        members.select("low", "class")
+        .distinct()
         .join(first.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
     split = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("bucket")
-    )
-    apart = staged(
-        placed.join(split, "bucket").join(sketch.select("class", "s.*"), "class"), "apart"
+        placed.groupBy("low")
+        .agg(F.min("component").alias("from"), F.max("component").alias("to"))
+        .where("from < to")
+        .select("low")
     )
+    apart = staged(placed.join(split, "low").join(sketch.select("class", "s.*"), "class"), "apart")
     x, y = apart.alias("x"), apart.alias("y")
-    rest = (
-        x.join(
-            y,
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.class") < F.col("y.class"))
-            & (F.col("x.component") != F.col("y.component"))
-            & _may_link("x", "y", percent),
-        )
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = staged(_confirmed(rest, sets, percent), "links")
+    # Classes with a candidate in another component; one is enough to stay.
+    candidates = x.join(
+        y,
+        (F.col("x.low") == F.col("y.low"))
+        & (F.col("x.component") != F.col("y.component"))
+        & _may_link("x", "y", percent),
+        "left_semi",
+    ).select("low", "class", "component", "n_shingles")
+    more = staged(_joining_links(staged(candidates, "candidates"), sets, percent), "links")
 
     # Second links join components of the first.
     root = first.withColumnsRenamed({"node": "b", "component": "to_b"})
