@@ -235,7 +235,8 @@ def _share(labelled: DataFrame, wanted: int, languages: dict[str, int], salt: st
     kept = F.lit(False)
     for name, n in languages.items():
         threshold = min(1 << 30, (wanted << 30) // n)
-        chosen = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < threshold
+        own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+        chosen = F.pmod(F.xxhash64("doc_id", own, F.lit(salt)), F.lit(1 << 30)) < threshold
         kept = F.when(F.col("lang") == name, chosen).otherwise(kept)
     return labelled.where(kept)
 

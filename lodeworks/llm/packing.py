@@ -25,7 +25,7 @@ from lodeworks.llm.token_ids import encoder, with_end
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Parts into which the numbering of one length is split, so that a frequent length
 #: (full pieces can be most of a corpus of long texts) is no single task.
-SALTS = 64
+SALTS = 1024
 
 
 def token_pieces(
@@ -113,55 +113,55 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     error of the caller and raise. Other columns are kept.
     """
     spark = pieces.sparkSession
-    salted = pieces.where("length > 0").withColumn(
-        "_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS))
+    columns = [c for c in pieces.columns if c not in ("_salt", "_before", "sequence_id", "offset")]
+    salted = (
+        pieces.where("length > 0")
+        .select(*columns)
+        .withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int"))
     )
-    # One row for each length and salt: at most capacity * SALTS.
-    counts = [
-        (int(r["length"]), int(r["_salt"]), int(r["n"]))
-        for r in salted.groupBy("length", "_salt").agg(F.count("*").alias("n")).collect()
-    ]
-    histogram: dict[int, int] = {}
-    before = []
-    for length, salt, n in sorted(counts):
-        before.append((length, salt, histogram.get(length, 0)))
-        histogram[length] = histogram.get(length, 0) + n
+    counts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
+    # The histogram is all that reaches the driver: at most ``capacity`` rows.
+    histogram = {
+        int(r["length"]): int(r["n"])
+        for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()
+    }
     if max(histogram, default=0) > capacity:
         raise ValueError(f"a piece is longer than {capacity}")
-    slots = place(histogram, capacity)
     by_length: dict[int, list[Slots]] = {}
-    for slot in slots:
+    for slot in place(histogram, capacity):
         by_length.setdefault(slot.length, []).append(slot)
-    lookup = {
-        n: tuple(np.array([getattr(s, f) for s in x]) for f in ("rank", "sequence", "offset"))
-        for n, x in by_length.items()
-    }
-    base = {(length, salt): n for length, salt, n in before}
-    shared = spark.sparkContext.broadcast((base, lookup))
+    shared = spark.sparkContext.broadcast(
+        {
+            n: tuple(np.array([getattr(s, f) for s in x]) for f in ("rank", "sequence", "offset"))
+            for n, x in by_length.items()
+        }
+    )
 
-    columns = [c for c in salted.columns if c not in ("_salt", "sequence_id", "offset")]
-    ranked = salted.withColumn(
-        "_rank",
-        F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "start")) - 1,
-    ).select(*columns, "_salt", "_rank")
+    # A piece's number among those of its length: pieces of lower salts, then its own place.
+    lower = Window.partitionBy("length").orderBy("_salt")
+    before = counts.select(
+        "length", "_salt", (F.sum("_n").over(lower) - F.col("_n")).alias("_before")
+    )
+    own = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "start"))
+    ranked = (
+        salted.withColumn("_own", own)
+        .join(before, ["length", "_salt"])
+        .select(*columns, (F.col("_before") + F.col("_own") - 1).alias("_rank"))
+    )
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, lookup = shared.value
+        lookup = shared.value
         for batch in batches:
             length = batch.column("length").to_numpy()
-            salt = batch.column("_salt").to_numpy()
-            rank = batch.column("_rank").to_numpy().astype(np.int64)
+            rank = batch.column("_rank").to_numpy()
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            key = length.astype(np.int64) * SALTS + salt
-            order = np.argsort(key, kind="stable")
-            cuts = np.flatnonzero(np.diff(key[order], prepend=-1))
+            order = np.argsort(length, kind="stable")
+            cuts = np.flatnonzero(np.diff(length[order], prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], len(order)]):
                 rows = order[a:b]
-                n = int(length[rows[0]])
-                ranks, sequences, offsets = lookup[n]
-                number = rank[rows] + base[n, int(salt[rows[0]])]
-                at = np.searchsorted(ranks, number, "right") - 1
-                sequence[rows] = sequences[at] + number - ranks[at]
+                ranks, sequences, offsets = lookup[int(length[rows[0]])]
+                at = np.searchsorted(ranks, rank[rows], "right") - 1
+                sequence[rows] = sequences[at] + rank[rows] - ranks[at]
                 offset[rows] = offsets[at]
             kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(

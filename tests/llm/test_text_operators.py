@@ -416,3 +416,27 @@ def test_proximity_finds_changed_order(spark):
     bench = spark.createDataFrame([(1, "w0 w1 w2 w3 w4 w5")], "item_id long, text string")
     got = {r["doc_id"]: (r["contaminated"], r["n_near"]) for r in decontamination.contamination(docs, bench, slack=2).collect()}
     assert got == {1: (False, 1), 2: (True, 0), 3: (False, 0), 4: (False, 0)}
+
+
+@pytest.mark.parametrize("tile", (512, 5))
+def test_groups_of_near_copies_are_joined_in_tiles(spark, monkeypatch, tile):
+    monkeypatch.setattr(minhash, "TILE_CLASSES", tile)
+    rng = random.Random(tile)
+    base = prose(rng, "abcdefghij", 150).split()
+    rows = []
+    for i in range(60):
+        share = rng.choice((0.02, 0.04, 0.06))
+        rows.append((i, " ".join(prose(rng, "xyz", 1) if rng.random() < share else w for w in base), None))
+    got = minhash.near_duplicates(build(spark, rows), 3, 85).collect()
+    want = brute_groups([(i, t) for i, t, _ in rows], 3, 85)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == want
+
+
+def test_common_counts():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 50))) for _ in range(20)]
+    got = minhash.common_counts(np.concatenate(sets), np.array([len(s) for s in sets]))
+    for a in range(20):
+        for b in range(20):
+            if a != b:
+                assert got[a, b] == len(np.intersect1d(sets[a], sets[b]))
