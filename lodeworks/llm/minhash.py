@@ -94,7 +94,8 @@ def signatures(sets: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 SKETCH = (
-    "doc_id long, text_hash long, n_shingles long, class long, check long, bands array<long>, bits array<long>"
+    "doc_id long, text_hash long, n_shingles long, class long, check long, "
+    "bands array<long>, bits array<long>"
 )
 
 
@@ -119,7 +120,8 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             for seed in (101, 102):
                 value = np.zeros(len(n), np.uint64)
                 if some.any():
-                    value[some] = mix(np.add.reduceat(mix(sets, seed), begins[:-1][some]) + n[some].astype(np.uint64))
+                    sums = np.add.reduceat(mix(sets, seed), begins[:-1][some])
+                    value[some] = mix(sums + n[some].astype(np.uint64))
                 own.append(value.view(np.int64))
             place = pa.array(np.cumsum(some) - 1, mask=~some)
             yield pa.RecordBatch.from_arrays(

@@ -22,19 +22,37 @@ from lodeworks.llm.common import blocks, staged
 
 #: Forms of address by gender, and given names that show one.
 TITLES = {
-    "f": "Mrs Ms Miss Madame Mme Mademoiselle Frau Señora Sra Señorita Signora Госпожа Κυρία".split(),
+    "f": (
+        "Mrs Ms Miss Madame Mme Mademoiselle Frau Señora Sra Señorita Signora Госпожа "
+        "Κυρία "
+    ).split(),
     "m": "Mr Mister Monsieur Herr Señor Sr Signor Господин Κύριος".split(),
     "n": "Dr Prof Doctor Professor Dra Доктор".split(),
 }
 GIVEN = {
-    "f": "Mary Anna Maria Sophie Claire Julia Laura Emma Carmen Lucia Elena Ingrid Helga Анна Мария Ольга Ελένη".split(),
-    "m": "John James Peter Thomas Pierre Jean Hans Karl Jürgen Carlos Juan José Miguel Paul Иван Пётр Сергей Γιώργος".split(),
+    "f": (
+        "Mary Anna Maria Sophie Claire Julia Laura Emma Carmen Lucia Elena Ingrid Helga "
+        "Анна Мария Ольга Ελένη "
+    ).split(),
+    "m": (
+        "John James Peter Thomas Pierre Jean Hans Karl Jürgen Carlos Juan José Miguel "
+        "Paul Иван Пётр Сергей Γιώργος "
+    ).split(),
 }
 #: Syllables and endings from which names of a script are made.
 SYLLABLES = {
-    "latin": "ba be bo da de do fa fe ga go ka ke la le li lo ma me mi mo na ne no ra re ri ro sa se so ta te to va ve vi".split(),
-    "cyrillic": "ба бе бо ва ве во га го да де до ка ко ла ле ло ма ми мо на не но ра ре ро са се со та те то".split(),
-    "greek": "βα βε βο γα γε δα δε κα κο λα λε λο μα με μι μο να νε νο πα πε πο ρα ρο σα σε σο τα τε το".split(),
+    "latin": (
+        "ba be bo da de do fa fe ga go ka ke la le li lo ma me mi mo na ne no ra re ri ro "
+        "sa se so ta te to va ve vi "
+    ).split(),
+    "cyrillic": (
+        "ба бе бо ва ве во га го да де до ка ко ла ле ло ма ми мо на не но ра ре ро са се "
+        "со та те то "
+    ).split(),
+    "greek": (
+        "βα βε βο γα γε δα δε κα κο λα λε λο μα με μι μο να νε νο πα πε πο ρα ρο σα σε σο "
+        "τα τε το "
+    ).split(),
 }
 ENDINGS = {
     "latin": {"f": "na", "m": "lf", "n": "ny", "surname": "ner"},
@@ -72,7 +90,10 @@ PATTERNS: tuple[tuple[str, re.Pattern, Callable[[str], str], Callable[[str], boo
     ),
     (
         "iban",
-        re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+        re.compile(
+            r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+            r"(?![A-Za-z0-9])"
+        ),
         lambda x: x.replace(" ", ""),
         lambda x: 15 <= len(x) <= 34 and _mod97(x) == 1,
     ),
@@ -205,7 +226,8 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
         return f"{canonical[:2]}{98 - _mod97(canonical[:2] + '00' + body):02d}{body}"
     script, role = _script(canonical), kind.rpartition("_")[2]
     syllables = SYLLABLES[script]
-    stem = "".join(syllables[draw.below(len(syllables))] for _ in range(2 + attempt // 4 + (role == "surname")))
+    size = 2 + attempt // 4 + (role == "surname")
+    stem = "".join(syllables[draw.below(len(syllables))] for _ in range(size))
     return stem + ENDINGS[script][role]
 
 
@@ -317,15 +339,22 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             texts = []
-            for text, changes in zip(batch.column("text").to_pylist(), batch.column("changes").to_pylist()):
+            columns = (batch.column(c).to_pylist() for c in ("text", "changes"))
+            for text, changes in zip(*columns):
                 parts, at = [], 0
                 for change in changes or ():
                     mention = text[change["start"] : change["end"]]
-                    parts += [text[at : change["start"]], render(change["kind"], mention, change["surrogate"])]
+                    fresh = render(change["kind"], mention, change["surrogate"])
+                    parts += [text[at : change["start"]], fresh]
                     at = change["end"]
                 texts.append("".join([*parts, text[at:]]) if parts else text)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("n_entities"), batch.column("kinds")],
+                [
+                    batch.column("doc_id"),
+                    pa.array(texts, pa.string()),
+                    batch.column("n_entities"),
+                    batch.column("kinds"),
+                ],
                 ["doc_id", "text", "n_entities", "kinds"],
             )
 

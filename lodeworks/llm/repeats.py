@@ -126,27 +126,40 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(find, OCCURRENCES)
 
 
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of unsigned keys, and the keys in that order."""
+    bits = np.uint64(max(1, (len(keys) - 1).bit_length()))
+    if len(keys) and int(keys.max()).bit_length() + int(bits) <= 64:
+        # Keys that leave room for their place are sorted with it, which takes far less time.
+        joined = np.sort((keys << bits) | np.arange(len(keys), dtype=np.uint64))
+        return (joined & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), joined >> bits
+    order = np.argsort(keys)
+    return order, keys[order]
+
+
 def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array by the first ``depth`` symbols at least, and the Burrows-Wheeler transform.
 
-    Ranks of the first 7 symbols (9 bits each) are doubled to those of 14, 28, ...
+    Ranks of the first few symbols are doubled to those of twice as many, and so on.
     """
     n = len(symbols)
-    padded = np.concatenate((symbols.astype(np.uint64), np.zeros(7, np.uint64)))
+    rank_bits = n.bit_length()
+    kinds, code = np.unique(symbols, return_inverse=True)
+    width = max(1, (len(kinds) - 1).bit_length())
+    reach = max(1, min(2 * rank_bits, 63) // width)
+    padded = np.concatenate((code.astype(np.uint64), np.zeros(reach, np.uint64)))
     key = np.zeros(n, np.uint64)
-    for k in range(7):
-        key = (key << np.uint64(9)) | padded[k : k + n]
-    reach = 7
+    for k in range(reach):
+        key = (key << np.uint64(width)) | padded[k : k + n]
     while True:
-        order = np.argsort(key, kind="stable")
-        new = np.diff(key[order], prepend=key[order[:1]]) != 0
+        order, ordered = _sorted(key)
         rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new) + 1
+        rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0) + 1
         if reach >= depth or rank[order[-1]] == n:
             return order, symbols[order - 1]
         behind = np.zeros(n, np.uint64)
         behind[:-reach] = rank[reach:] if reach < n else 0
-        key = (rank << np.uint64(32)) | behind
+        key = (rank << np.uint64(rank_bits)) | behind
         reach *= 2
 
 
@@ -175,8 +188,8 @@ def common_prefixes(bwt: np.ndarray, stop: int) -> np.ndarray:
         if not len(at):
             break
         to = ahead[at]
-        by_place = np.argsort(to)
-        to, owner, symbol = to[by_place], owner[by_place], bwt[at[by_place]]
+        by_place, to = _sorted(to.astype(np.uint64))
+        to, owner, symbol = to.astype(np.int64), owner[by_place], bwt[at[by_place]]
         new = np.ones(len(to), bool)
         new[1:] = (np.diff(to) != 1) | (np.diff(owner) != 0) | (symbol[1:] != symbol[:-1])
         begin = np.flatnonzero(new)
@@ -332,9 +345,13 @@ def _by_window(segments: DataFrame, length: int) -> DataFrame:
                     row.append(k)
                     first.append(a)
                     key.append(hashlib.blake2b(segment[a : a + length], digest_size=16).digest())
-            start = batch.column("start").to_numpy()[row] + first
+            start = batch.column("start").to_numpy()[np.array(row, np.int64)] + np.array(first, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.binary()), *(batch.column(c).take(pa.array(row)) for c in ("doc_id", "text_hash")), pa.array(start)],
+                [
+                    pa.array(key, pa.binary()),
+                    *(batch.column(c).take(pa.array(row, pa.int64())) for c in ("doc_id", "text_hash")),
+                    pa.array(start),
+                ],
                 ["window", "doc_id", "text_hash", "start"],
             )
 
