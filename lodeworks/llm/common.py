@@ -71,6 +71,8 @@ def blocks(
             last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    # A worker waits for its next task with the memory of the last one otherwise.
+    pa.default_memory_pool().release_unused()
 
 
 def spans_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
