@@ -177,7 +177,7 @@ def _parser() -> argparse.ArgumentParser:
                       help="bounds are asked from the database, for the new rows only")
     pull.add_argument("--one-task", action="store_true", help="read a small table in one task")
     pull.add_argument("--key", action="append", default=[], help="tells repeated rows in a lookback")
-    pull.add_argument("--undated", help="directory for rows without a time")
+    pull.add_argument("--undated", help="directory for rows without a time (default: TARGET-undated)")
     pull.add_argument("--newer-by", metavar="COLUMN", help="append rows past the watermark")
     pull.add_argument("--lookback-days", type=float)
     pull.add_argument("--floor", help="a value the watermark is known to have reached")

@@ -9,7 +9,7 @@ from operator import and_
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
 
 from lodeworks.functions.temporal import parsed_timestamp
@@ -132,6 +132,41 @@ def _not_in(rows: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFra
     return rows.join(present, reduce(and_, same), "left_anti")
 
 
+def undated_default(target_path: str) -> str:
+    """Where rows without a time go if no place is named: next to the target."""
+    return f"{target_path.rstrip('/')}-undated"
+
+
+def _comparable(rows: DataFrame) -> DataFrame:
+    """``row, text``: texts are equal for equal rows, whatever the types of their columns."""
+    exact = {
+        "ignoreNullFields": "false",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    return rows.select(F.struct("*").alias("row")).withColumn("text", F.to_json("row", exact))
+
+
+def _append_undated(rows: DataFrame, path: str | None, target_path: str) -> None:
+    """Append the copies of each row that the path lacks."""
+    if path is None:
+        path = undated_default(target_path)
+        if rows.isEmpty():
+            return
+    present = _existing(rows, path, False)
+    if present is not None:
+        had = _comparable(present).groupBy("text").agg(F.count("*").alias("had"))
+        copy = F.row_number().over(Window.partitionBy("text").orderBy("text"))
+        rows = (
+            _comparable(rows)
+            .withColumn("copy", copy)
+            .join(had, "text", "left")
+            .where(F.col("copy") > F.coalesce("had", F.lit(0)))
+            .select("row.*")
+        )
+    write_parquet(rows, path, mode="append")
+
+
 def incremental_append(
     source: DataFrame,
     target_path: str,
@@ -144,22 +179,21 @@ def incremental_append(
 ) -> DataFrame:
     """Append what is new to the target and return a scan of the whole target.
 
-    A target that does not exist yet receives everything. The target is parquet,
-    or delimited text with ``delimited``. ``floor`` narrows the search for the
-    watermark, see ``high_watermark``.
+    The target is parquet, or delimited text with ``delimited``. ``floor`` narrows the
+    search for the watermark, see ``high_watermark``.
 
     With ``lookback`` rows that arrive late by that much are found too. What the target
     has already is told by ``keys`` and the time (all columns if no keys are given) among
     the target's rows within the window, so no row is appended twice.
 
-    Rows without a time, or with text that is none, are never loaded into a target with a
-    watermark, nor into a new one: ``undated_path`` is where they are written, all that the
-    source holds, replaced on each run. Without it they stay in the source only.
+    A target that does not exist yet receives every row with a time. Rows without one, or
+    with text that is none, go to ``undated_path``, by default the parquet directory
+    ``<target_path>-undated``. It is only appended to: a row that it has as often as the
+    source is not written again, and rows of earlier deliveries stay.
     """
     ts_column = resolved(source, ts_column)
     instant = _instant(source, ts_column)
-    if undated_path is not None:
-        write_parquet(source.filter(instant.isNull()), undated_path)
+    _append_undated(source.filter(instant.isNull()), undated_path, target_path)
     target = _existing(source, target_path, delimited)
     watermark = None if target is None else high_watermark(target, ts_column, floor)
     new = newer_than(source.filter(instant.isNotNull()), ts_column, watermark, lookback)

@@ -85,6 +85,20 @@ def test_watermark_and_cutoff_take_times_only(spark, tmp_path):
     assert values(since_cutoff(rows, "ts", "2021-01-02"), "id") == [(5,)]
 
 
+def test_undated_rows_go_next_to_the_target_and_stay(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "2021-01-01", {"a": 1}), (2, "NA", {"a": 2}), (2, "NA", {"a": 2}), (3, None, None), (4, "2021-01-02", None), (5, "?", {})],
+        "id int, ts string, more map<string, int>",
+    ).withColumn("seen", F.timestamp_micros(F.col("id") * 1))
+    target = str(tmp_path / "t")
+    for ids in ("id < 3", "id < 3", "id > 2", "id = 2 OR id = 5"):
+        loaded = incremental_append(rows.filter(ids), target, "ts")
+    assert values(loaded, "id") == [(1,), (4,)]
+    undated = spark.read.parquet(f"{target}-undated")
+    assert values(undated, "id") == [(2,), (2,), (3,), (5,)]
+    assert undated.columns == rows.columns
+
+
 @pytest.mark.parametrize("keys", ([], ["ID"]))
 def test_lookback_appends_each_row_once(spark, tmp_path, keys):
     rows = spark.createDataFrame(

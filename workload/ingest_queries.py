@@ -28,7 +28,12 @@ from lodeworks.sources.tables import (
     register_external,
     scan_table,
 )
-from lodeworks.streaming.incremental import high_watermark, incremental_append, since_cutoff
+from lodeworks.streaming.incremental import (
+    high_watermark,
+    incremental_append,
+    since_cutoff,
+    undated_default,
+)
 from workload import roles
 from workload.cleansing_queries import cast_sql
 from workload.silver_queries import ORACLE as SILVER_SQL, number, silver_games
@@ -99,6 +104,17 @@ def _dirty_text(spark, sf_dir, result="target"):
     return loaded if result == "target" else scan_parquet(spark, undated)
 
 
+def _undated_default(spark, sf_dir):
+    """Deliveries that hold new rows only, some without a time, and no place named for these."""
+    events = _events(spark, sf_dir)
+    rows = events.selectExpr("event_id", f"{_DIRTY_TIME} AS ts", "user_id")
+    target = fresh_path(spark, "undated-default")
+    early = F.col("event_id") % 2 == 0
+    for delivery in (early, early, ~early):
+        loaded = incremental_append(rows.filter(delivery), target, "ts", lookback=timedelta(days=9999))
+    return loaded.unionByName(scan_parquet(spark, undated_default(target)))
+
+
 def _incremental_text(spark, sf_dir):
     events = _events(spark, sf_dir).select("event_id", F.col("ts").cast("string"), "event_type")
     target = fresh_path(spark, "incremental-text")
@@ -285,6 +301,7 @@ QUERIES = {
     "incremental_text": _incremental_text,
     "incremental_dirty_text": _dirty_text,
     "incremental_undated": lambda spark, sf_dir: _dirty_text(spark, sf_dir, "undated"),
+    "incremental_undated_default": _undated_default,
     "csv_quoted_fields": _quoted_fields,
     "csv_header_case": _header_case,
     "delimited_escaped": _delimited_escaped,
@@ -330,6 +347,7 @@ def _oracle():
         "incremental_undated": f"""
             SELECT event_id, ts, user_id FROM ({_DIRTY_EVENTS}) AS d
             WHERE try_cast(ts AS TIMESTAMP) IS NULL""",
+        "incremental_undated_default": _DIRTY_EVENTS,
         "incremental_text": "SELECT event_id, CAST(ts AS VARCHAR) AS ts, event_type FROM events",
         "csv_quoted_fields": _UGLY_SQL,
         "delimited_escaped": _UGLY_SQL,
