@@ -35,18 +35,26 @@ CHUNK = 1 << 18
 
 @lru_cache(1)
 def _symbols() -> np.ndarray:
-    """Lower-case code of each letter below U+10000, 0 for other characters; the last
-    entry stands for all characters above."""
+    """Lower-case code of each letter below U+10000, 0 for other characters."""
     found = np.zeros(0x10000, np.uint16)
-    for code in range(0xFFFF):
+    for code in range(0x10000):
         letter = chr(code)
         if letter.isalpha():
             low = letter.lower()
             found[code] = ord(low) if len(low) == 1 else code
-    found[0xFFFF] = 0xFFFF
     return found
 
 
+def _high_symbol(code: int) -> int:
+    """Symbol of a character above U+FFFF: 0, or for letters one of the codes of surrogates
+    and private use, which are no letters. Letters of one script stay apart."""
+    letter = chr(code)
+    if not letter.isalpha():
+        return 0
+    low = letter.lower()
+    return 0xD800 + (ord(low) if len(low) == 1 else code) % 0x2100
+
+
 def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The symbols of all texts end to end (0: a blank), and where each text begins.
 
@@ -57,6 +65,10 @@ def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     joined = "\n".join(texts.to_pylist()) + "\n"
     codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     found = _symbols()[np.minimum(codes, 0xFFFF)]
+    high = np.flatnonzero(codes > 0xFFFF)
+    if len(high):
+        distinct, which = np.unique(codes[high], return_inverse=True)
+        found[high] = np.array([_high_symbol(c) for c in distinct.tolist()], np.uint16)[which]
     begins = np.concatenate(([0], np.cumsum(sizes)))
     kept = found != 0
     kept[1:] |= kept[:-1]

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,19 @@ def test_foreign_texts_and_texts_without_letters(spark, labelled):
         assert (got[k]["lang_pred"], got[k]["score"], got[k]["rejected"]) == ("und", 0.0, True)
 
 
+def test_emoji_are_no_letters_and_high_scripts_stay_apart(spark, labelled):
+    model = language_id.train(labelled)
+    rows = [(1, "🙂🚀 12 🎉!", None), (2, "🙂", None), (3, "\uffff", None)]
+    for row in language_id.predict(build(spark, rows), model).collect():
+        assert (row["lang_pred"], row["score"], row["rejected"]) == ("und", 0.0, True)
+    texts = pa.array(["𐐀𐐨", "𐎀🙂𐎀", "ab"])
+    found, begins = language_id.symbols(texts)
+    low, ugaritic, plain = (found[a:b].tolist() for a, b in zip(begins, begins[1:]))
+    assert low[0] == low[1] != 0 and low[2] == 0
+    assert ugaritic[0] not in (0, low[0]) and ugaritic == [ugaritic[0], 0, ugaritic[0], 0]
+    assert plain == [97, 98, 0]
+
+
 def test_language_id_on_odd_tables(odd_docs, odd_rows, no_docs):
     model = language_id.train(odd_docs)
     assert language_id.predict(odd_docs, model).count() == len(odd_rows)
