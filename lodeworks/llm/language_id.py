@@ -2,8 +2,9 @@
 
 A text is read as lower-case letters with every run of other characters as one blank.
 For each language a 4-gram model is estimated from counts of a bounded sample of
-labelled texts. The models of all languages share sorted arrays of 64-bit gram hashes,
-with a row of log probabilities, one per language, for each hash. The language with the
+labelled texts. The models of ``GROUP`` languages share sorted arrays of 64-bit gram
+hashes, with a row of log probabilities, one per language, for each hash, so that memory
+grows with the number of languages and not with its square. The language with the
 lowest cross-entropy per symbol wins; a second sample, not used for counting,
 calibrates the score and the rejection of texts that no model explains.
 """
@@ -17,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +28,8 @@ ORDER = 4
 #: Labelled texts of each language that are counted, and that calibrate: expected sizes
 #: of samples drawn by a hash of the id.
 COUNTED, CALIBRATING = 2000, 400
-#: Languages that are learned at most, the most frequent ones.
-LANGUAGES = 200
+#: Languages whose models share arrays, which have a column for each of them.
+GROUP = 32
 #: Symbols scored at once, which bounds the memory for texts of any length.
 CHUNK = 1 << 18
 
@@ -108,21 +109,16 @@ class Level:
 
 
 @dataclass
-class Model:
-    languages: list[str]
+class Group:
+    """The models of some languages."""
+
+    size: int
     levels: list[Level]  # of length 1 ... ORDER
     floor: float  # log2 probability of a symbol that was never seen
-    alphabet: np.ndarray
-    sharpness: float = 1.0
-    limit: float = np.inf
-    slack: float = 0.0
-
-    def log_probabilities(self, packed: np.ndarray) -> np.ndarray:
-        return self._level(packed, ORDER)
 
-    def _level(self, packed: np.ndarray, length: int) -> np.ndarray:
+    def level(self, packed: np.ndarray, length: int) -> np.ndarray:
         if length == 0:
-            return np.full((len(packed), len(self.languages)), self.floor, np.float32)
+            return np.full((len(packed), self.size), self.floor, np.float32)
         level = self.levels[length - 1]
         own = packed if length == ORDER else packed & np.uint64((1 << 16 * length) - 1)
         at, known = _find(level.grams, mix(own, length))
@@ -131,12 +127,25 @@ class Model:
         if len(missing):
             history = own[missing] >> np.uint64(16)
             place, seen = _find(level.histories, mix(history, length + 64))
-            out[missing] = np.where(seen[:, None], level.left[place], 0) + self._level(
+            out[missing] = np.where(seen[:, None], level.left[place], 0) + self.level(
                 packed[missing], length - 1
             )
         return out
 
 
+@dataclass
+class Model:
+    languages: list[str]
+    groups: list[Group]  # of languages in their order
+    alphabet: np.ndarray
+    sharpness: float = 1.0
+    limit: float = np.inf
+    slack: float = 0.0
+
+    def log_probabilities(self, packed: np.ndarray) -> np.ndarray:
+        return np.concatenate([group.level(packed, ORDER) for group in self.groups], axis=1)
+
+
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(table):
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
@@ -152,9 +161,16 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     before them; each level gives up a discount of its own per gram to the level below.
     """
     languages = sorted(counts)
-    seen = {x: counts[x] for x in languages}
-    symbols_seen = np.unique(np.concatenate([g & np.uint64(0xFFFF) for g, _ in seen.values()]))
-    floor = -float(np.log2(len(symbols_seen) + 1))
+    alphabet = np.unique(np.concatenate([np.unique(g & np.uint64(0xFFFF)) for g, _ in counts.values()]))
+    floor = -float(np.log2(len(alphabet) + 1))
+    parts = [languages[a : a + GROUP] for a in range(0, len(languages), GROUP)]
+    groups = [_estimated({x: counts[x] for x in part}, floor) for part in parts]
+    return Model(languages, groups, alphabet)
+
+
+def _estimated(counts: dict[str, tuple[np.ndarray, np.ndarray]], floor: float) -> Group:
+    languages = list(counts)
+    seen = dict(counts)
     tables: list[list[tuple]] = []
     for length in range(ORDER, 0, -1):
         row = []
@@ -171,11 +187,11 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
         for name in languages:
             shorter = seen[name][0] & np.uint64((1 << 16 * (length - 1)) - 1)
             seen[name] = tuple(np.unique(shorter, return_counts=True))
-    model = Model(languages, [], floor, symbols_seen)
+    group = Group(len(languages), [], floor)
     for length, row in enumerate(tables, 1):
         every = np.unique(np.concatenate([x[0] for x in row]))
         past = np.unique(np.concatenate([x[2] for x in row]))
-        below = np.exp2(model._level(every, length - 1).astype(float))
+        below = np.exp2(group.level(every, length - 1).astype(float))
         chance, left = np.zeros((len(every), len(row))), np.zeros((len(past), len(row)))
         for k, (gram, n, history, total, kinds, discount) in enumerate(row):
             left[np.searchsorted(past, history), k] = discount * kinds / total
@@ -185,7 +201,7 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
             chance[:, k] += left[np.searchsorted(past, every >> np.uint64(16)), k] * below[:, k]
         by_hash = np.argsort(mix(every, length))
         by_past = np.argsort(mix(past, length + 64))
-        model.levels.append(
+        group.levels.append(
             Level(
                 mix(every, length)[by_hash],
                 np.log2(chance[by_hash]).astype(np.float32),
@@ -193,7 +209,7 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
                 np.log2(left[by_past]).astype(np.float32),
             )
         )
-    return model
+    return group
 
 
 def cross_entropies(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -242,27 +258,52 @@ def calibrate(model: Model, entropies: np.ndarray, n: np.ndarray, own: np.ndarra
     model.slack = 4.0
 
 
-def _share(labelled: DataFrame, wanted: int, languages: dict[str, int], salt: str) -> DataFrame:
-    """About ``wanted`` texts of each language, by a hash of the id."""
-    kept = F.lit(False)
-    for name, n in languages.items():
-        threshold = min(1 << 30, (wanted << 30) // n)
-        own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-        chosen = F.pmod(F.xxhash64("doc_id", own, F.lit(salt)), F.lit(1 << 30)) < threshold
-        kept = F.when(F.col("lang") == name, chosen).otherwise(kept)
-    return labelled.where(kept)
+def _hashed(salt: str, modulus: int) -> Column:
+    """A number below the modulus for each row, by its id, or by the text without one."""
+    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    return F.pmod(F.xxhash64("doc_id", own, F.lit(salt)), F.lit(modulus))
+
+
+def _drawn(wanted: int, salt: str) -> Column:
+    """Whether a row is among about ``wanted`` texts of its language, which has ``_total``."""
+    threshold = F.least(F.lit(1 << 30), F.floor(F.lit(wanted << 30) / F.col("_total")))
+    return _hashed(salt, 1 << 30) < threshold
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches, limit=1 << 20):
-        langs = batch.column("lang")
+        langs, apart = batch.column("lang"), batch.column("apart")
         for name in pc.unique(langs).to_pylist():
-            stream, begins = symbols(batch.column("text").filter(pc.equal(langs, name)))
-            if len(stream):
-                gram, n = np.unique(grams(stream, begins, 0, len(stream)), return_counts=True)
-                yield pa.RecordBatch.from_pydict(
-                    {"lang": pa.array([name] * len(gram)), "gram": gram.view(np.int64), "n": n}
-                )
+            for held in (False, True):
+                mine = pc.and_(pc.equal(langs, name), pc.equal(apart, held))
+                stream, begins = symbols(batch.column("text").filter(mine))
+                if len(stream):
+                    gram, n = np.unique(grams(stream, begins, 0, len(stream)), return_counts=True)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "lang": pa.array([name] * len(gram)),
+                            "gram": gram.view(np.int64),
+                            "n": n,
+                            "rest": np.zeros_like(n) if held else n,
+                        }
+                    )
+
+
+def _counted(texts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each language's 4-grams, ascending, with their counts in all texts and in those not
+    ``apart``. Rows are ``lang, text, apart``."""
+    counts = (
+        texts.mapInArrow(_count, "lang string, gram long, n long, rest long")
+        .groupBy("lang", "gram")
+        .agg(F.sum("n").alias("n"), F.sum("rest").alias("rest"))
+        .toPandas()
+    )
+    packed = {}
+    for name, rows in counts.groupby("lang"):
+        gram = rows["gram"].to_numpy().view(np.uint64)
+        order = np.argsort(gram)
+        packed[name] = (gram[order], *(rows[c].to_numpy()[order] for c in ("n", "rest")))
+    return packed
 
 
 def train(
@@ -270,31 +311,46 @@ def train(
 ) -> Model | None:
     """A calibrated model from rows ``doc_id, text, lang``; none if no text is labelled.
 
-    Samples of about ``counted`` and ``calibrating`` texts of each of the ``LANGUAGES``
-    most frequent languages are used, whatever the size of the table: those whose ids
-    hash lowest. The second sample is only used if it is not empty.
+    Samples of about ``counted`` and ``calibrating`` texts of each language are used,
+    whatever the size of the table: those whose ids hash lowest. Languages with ``counted``
+    texts at most are counted whole: the second sample then calibrates a model without the
+    texts of its own part, and the result counts these too. The second sample is only used
+    if it is not empty.
     """
-    labelled = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
-    known = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    languages = {r["lang"]: r["count"] for r in known.collect()}
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(6))
-    counts = (
-        _share(labelled.where(part > 0), counted, languages, "count")
-        .select("lang", "text")
-        .mapInArrow(_count, "lang string, gram long, n long")
-        .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
-    if counts.empty:
+    labelled = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
+    spark = labelled.sparkSession
+    totals = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not totals:
         return None
+    known = spark.createDataFrame(list(totals.items()), "lang string, _total long")
+    # One small row per label, which the driver holds anyway.
+    labelled = labelled.join(F.broadcast(known), "lang")
+    apart = _hashed("part", 6) == 0
+    whole = F.col("_total") <= counted
+    texts = labelled.where(whole | ~apart & _drawn(counted, "count")).select(
+        "lang", "text", apart.alias("apart")
+    )
+    names = sorted(totals)
     packed = {}
-    for name, rows in counts.groupby("lang"):
-        gram = rows["gram"].to_numpy().view(np.uint64)
-        order = np.argsort(gram)
-        packed[name] = (gram[order], rows["n"].to_numpy()[order])
-    model = estimate(packed)
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    for first in range(0, len(names), GROUP):
+        mine = F.col("lang").isin(names[first : first + GROUP])
+        packed |= _counted(texts.where(mine) if len(names) > GROUP else texts)
+    # Larger languages of which the hash of the id draws nothing, as ids are repeated.
+    for name in [x for x in names if x not in packed and totals[x] > counted]:
+        order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+        rows = labelled.where((F.col("lang") == name) & F.rlike("text", F.lit(r"\p{L}"))).withColumn(
+            "_rank", F.row_number().over(order)
+        )
+        packed |= _counted(rows.where(F.col("_rank") <= counted).select("lang", "text", F.lit(True).alias("apart")))
+    if not packed:
+        return None
+    rest = {x: (g[m > 0], m[m > 0]) for x, (g, _, m) in packed.items() if m.any()}
+    every = {x: (g, n) for x, (g, n, _) in packed.items()}
+    same = all((n == m).all() for _, n, m in packed.values())
+    if not rest:
+        return estimate(every)
+    model = estimate(rest)
+    shared = spark.sparkContext.broadcast(model)
 
     def entropies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, limit=1 << 20):
@@ -304,21 +360,27 @@ def train(
             )
 
     rows = (
-        _share(labelled.where(part == 0), calibrating, languages, "calibrate")
+        labelled.where(apart & _drawn(calibrating, "calibrate"))
         .select("lang", "text")
         .mapInArrow(entropies, "lang string, n long, bits array<double>")
         .where(F.col("n") > 0)
-        .where(F.col("lang").isin(model.languages))
-        .collect()
+        .toPandas()
     )
-    if rows:
+    own = {name: k for k, name in enumerate(model.languages)}
+    rows = rows[rows["lang"].isin(own)]
+    if len(rows):
         calibrate(
             model,
-            np.array([r["bits"] for r in rows]),
-            np.array([r["n"] for r in rows]),
-            np.array([model.languages.index(r["lang"]) for r in rows]),
+            np.stack(rows["bits"].to_numpy()),
+            rows["n"].to_numpy(),
+            rows["lang"].map(own).to_numpy(),
         )
-    return model
+    if same:
+        return model
+    shared.unpersist()
+    final = estimate(every)
+    final.sharpness, final.limit, final.slack = model.sharpness, model.limit, model.slack
+    return final
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

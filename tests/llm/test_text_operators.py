@@ -66,6 +66,32 @@ def test_emoji_are_no_letters_and_high_scripts_stay_apart(spark, labelled):
     assert plain == [97, 98, 0]
 
 
+def test_every_label_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "GROUP", 3)
+    monkeypatch.setattr(language_id, "LANGUAGES", 4, raising=False)
+    rng = random.Random(4)
+    letters = {f"l{k}": "".join(chr(0x4E00 + 10 * k + j) for j in range(8)) for k in range(8)}
+    rows = [(i, prose(rng, letters[f"l{i % 8}"], 30), f"l{i % 8}") for i in range(400)]
+    # Few texts, and many texts of one id.
+    letters |= {"few": "klmnop", "one": "qrstuv"}
+    rows += [(None, prose(rng, letters["few"], 30), "few")] * 2
+    rows += [(7, prose(rng, letters["one"], 30), "one") for _ in range(60)]
+    model = language_id.train(build(spark, rows), counted=20, calibrating=10)
+    assert model.languages == sorted(letters)
+    tests = [(k, prose(rng, x, 30), name) for k, (name, x) in enumerate(letters.items())]
+    got = language_id.predict(build(spark, tests), model).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_a_label_with_all_texts_in_the_calibrating_part_is_learned(spark):
+    part = F.pmod(F.xxhash64("id", F.lit("part")), F.lit(6)) == 0
+    apart = [r["id"] for r in spark.range(100).where(part).collect()]
+    rng = random.Random(5)
+    rows = [(i, prose(rng, "abcde", 30), "aa") for i in range(100)]
+    rows += [(i, prose(rng, "vwxyz", 30), "bb") for i in apart]
+    assert language_id.train(build(spark, rows)).languages == ["aa", "bb"]
+
+
 def test_language_id_on_odd_tables(odd_docs, odd_rows, no_docs):
     model = language_id.train(odd_docs)
     assert language_id.predict(odd_docs, model).count() == len(odd_rows)
