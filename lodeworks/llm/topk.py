@@ -8,6 +8,7 @@ into groups and groups into the result. Neither side is broadcast or collected.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Vectors of a block, and blocks that a band of the tile grid holds.
 QUERY_BLOCK, SHARD_BLOCK, BAND_BLOCKS = 512, 4096, 16
+#: Blocks' worth of vectors that a task gathers at once over all its bands.
+HELD_BLOCKS = 4
 #: Products of doubles are exact up to here.
 EXACT = 2.0**53
 
@@ -36,17 +39,25 @@ def quantized(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     )
 
 
-def _packed(vectors: DataFrame, size: int, salt: str) -> DataFrame:
-    """Rows ``block, dim, ids, matrix``: vectors of one length, ``size`` at most in a row."""
+def _packed(vectors: DataFrame, size: int, band: str, bands: int) -> DataFrame:
+    """Rows ``dim, ids, matrix`` and the band: vectors of one length and band, ``size`` at
+    most in a row.
+
+    A vector's band is a hash of its id and content. Rows that a lost task gives again in
+    another order make other blocks, but every vector stays in its band.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: dict[tuple[int, int], list] = {}
+        count: Counter[tuple[int, int]] = Counter()
 
-        def row(dim: int, rows: list) -> pa.RecordBatch:
-            ids, matrix = (np.concatenate(x) for x in zip(*rows))
+        def row(key: tuple[int, int]) -> pa.RecordBatch:
+            del count[key]
+            ids, matrix = (np.concatenate(x) for x in zip(*held.pop(key)))
             return pa.RecordBatch.from_pydict(
                 {
-                    "dim": pa.array([dim], pa.int32()),
+                    "dim": pa.array(key[:1], pa.int32()),
+                    band: pa.array(key[1:], pa.int32()),
                     "ids": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
                     "matrix": pa.array([matrix.astype("<f8").tobytes()], pa.binary()),
                 }
@@ -54,22 +65,32 @@ def _packed(vectors: DataFrame, size: int, salt: str) -> DataFrame:
 
         for batch in batches:
             vectors, ids = batch.column("vector"), batch.column("id").to_numpy()
+            own = batch.column(band).to_numpy()
             sizes = np.diff(vectors.offsets.to_numpy())
             values = vectors.flatten().to_numpy()
             ends = np.cumsum(sizes)
-            for dim in np.unique(sizes).tolist():
-                rows = np.flatnonzero(sizes == dim)
+            for dim, number in set(zip(sizes.tolist(), own.tolist())):
+                key = dim, number
+                rows = np.flatnonzero((sizes == dim) & (own == number))
                 places = (ends[rows] - dim)[:, None] + np.arange(dim)
-                for a in range(0, len(rows), size):
-                    part = slice(a, a + size)
-                    held.setdefault(dim, []).append((ids[rows[part]], values[places[part]]))
-                    if sum(len(x[0]) for x in held[dim]) >= size:
-                        yield row(dim, held.pop(dim))
-        for dim, rows in held.items():
-            yield row(dim, rows)
-
-    packed = vectors.mapInArrow(pack, "dim int, ids binary, matrix binary")
-    return packed.withColumn(salt, F.xxhash64("ids"))
+                first = 0
+                while first < len(rows):
+                    part = slice(first, first + size - count[key])
+                    held.setdefault(key, []).append((ids[rows[part]], values[places[part]]))
+                    count[key] += len(rows[part])
+                    first = part.stop
+                    if count[key] >= size:
+                        yield row(key)
+            # Many bands hold no more than a few blocks.
+            while count.total() > HELD_BLOCKS * size:
+                yield row(count.most_common(1)[0][0])
+        for key in list(held):
+            yield row(key)
+
+    own = F.pmod(F.xxhash64("id", "vector"), F.lit(bands)).cast("int")
+    return vectors.select("id", "vector", own.alias(band)).mapInArrow(
+        pack, f"dim int, {band} int, ids binary, matrix binary"
+    )
 
 
 def _tile(left, q_ids, right, c_ids, k: int, skip_same_id: bool):
@@ -118,15 +139,11 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, skip_same_id: bool
     q_bands = 1 + queries.count() // (QUERY_BLOCK * BAND_BLOCKS)
     c_bands = 1 + candidates.count() // (SHARD_BLOCK * BAND_BLOCKS)
 
-    def banded(side: DataFrame, salt: str, own: str, bands: int, other: str, others: int):
-        return side.withColumn(own, F.pmod(salt, F.lit(bands)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
-        )
+    def every(side: DataFrame, other: str, others: int) -> DataFrame:
+        return side.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
-    q = banded(_packed(queries, QUERY_BLOCK, "q_salt"), "q_salt", "q_band", q_bands, "c_band", c_bands)
-    c = banded(
-        _packed(candidates, SHARD_BLOCK, "c_salt"), "c_salt", "c_band", c_bands, "q_band", q_bands
-    )
+    q = every(_packed(queries, QUERY_BLOCK, "q_band", q_bands), "c_band", c_bands)
+    c = every(_packed(candidates, SHARD_BLOCK, "c_band", c_bands), "q_band", q_bands)
     grid = q.select(
         "dim", "q_band", "c_band", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")
     ).join(c.select("dim", "q_band", "c_band", "ids", "matrix"), ["dim", "q_band", "c_band"])

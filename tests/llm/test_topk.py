@@ -39,6 +39,26 @@ def test_top_k_matches_brute_force(spark, monkeypatch, block):
     assert sorted(map(tuple, got)) == brute([(i, x) for i, x in {i: x for i, x in whole if i % 4 == 0}.items()], whole, 5)
 
 
+def test_bands_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    taken = []
+    packed = topk._packed
+    monkeypatch.setattr(topk, "_packed", lambda *given: taken.append(packed(*given)) or taken[-1])
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "SHARD_BLOCK", 4)
+    monkeypatch.setattr(topk, "BAND_BLOCKS", 2)
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(60)]
+    for order in (rows, rows[::-1]):
+        vectors = spark.createDataFrame(order, "id long, vector array<double>").coalesce(1)
+        topk.top_k(vectors, vectors, 3)
+    bands = []
+    for side in taken:
+        # The band's column, or a hash that gives it.
+        last = [c for c in side.columns if c.endswith(("band", "salt"))][0]
+        bands.append({(x, r[last]) for r in side.collect() for x in np.frombuffer(r["ids"], "<i8").tolist()})
+    assert bands[0] == bands[2] and bands[1] == bands[3]
+    assert [len(b) for b in bands] == [60] * 4 and len({k for _, k in bands[1]}) > 1
+
+
 def test_large_products_are_exact(spark):
     rows = [(0, [float(2**30 + 1)] * 2), (1, [float(2**30 + 3)] * 2), (2, [float(2**30)] * 2)]
     vectors = spark.createDataFrame(rows, "id long, vector array<double>")
