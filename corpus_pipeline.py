@@ -4,11 +4,11 @@ Each stage takes ``(spark, docs, sf_dir)``. ``run`` writes what a stage returns
 and reads it back as the next one's documents, so a lost executor never costs more than
 the stage at hand. All stages but the last return the columns of ``documents``.
 
-``documents`` columns may hold nulls, and rows may repeat. Rows of one ``doc_id`` are one
-document, which stays or goes as a whole: it stays after near-dedup if one of its texts
-does, and goes if one of them holds a benchmark passage or a secret. Rows without an id
-are such a document too. The language stage judges each row by itself, and a null text
-goes there. Further columns pass through every stage but the last.
+``documents`` columns may hold nulls, and rows may repeat. Every row is judged by itself,
+whatever rows of the same ``doc_id`` or without one hold: stages carry their decisions by
+the id and the text. Of each near-duplicate group, repeated rows included, exactly one
+row stays. A null text goes in the language stage. Further columns pass through every
+stage but the last.
 """
 
 from __future__ import annotations
@@ -17,13 +17,13 @@ from collections.abc import Callable
 from uuid import uuid4
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeworks.llm import language_id, secret_scan
 from lodeworks.llm.common import shared_folder, staged, table
 from lodeworks.llm.decontamination import contamination
-from lodeworks.llm.minhash import near_duplicates
+from lodeworks.llm.minhash import one_of_each_group
 from lodeworks.llm.packing import pack_documents
 
 #: Words of a benchmark passage for which a document goes, and ids of a packed sequence.
@@ -42,30 +42,68 @@ def filter_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return language_id.predict(docs, model).where("NOT rejected").select(*docs.columns)
 
 
+def _row_key() -> Column:
+    """A hash of id and text: equal rows are judged alike."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is not among those of the one column of ``keys``."""
+    gone = keys.toDF("_gone_key").distinct()
+    own = docs.withColumn("_row_key", _row_key())
+    return own.join(gone, F.col("_row_key") == F.col("_gone_key"), "left_anti").select(*docs.columns)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of near-duplicates the document with the smallest ``doc_id``.
+    """Keep of each group of near-duplicates one row, of the document with the smallest ``doc_id``.
 
-    Five-word shingles, similarity of 0.8 or more. Documents without words are kept.
+    Five-word shingles, similarity of 0.8 or more. Null ids are never the smallest. Of
+    several texts of that id one stays, and of equal rows one. Documents without words
+    are kept.
     """
-    groups = near_duplicates(docs, size=5, percent=80)
-    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+    def keyed(rows: DataFrame, text_hash: Column) -> DataFrame:
+        number = F.col("doc_id").cast("long")
+        return rows.withColumns(
+            {
+                "_near_id": F.coalesce(number, F.lit(0)),
+                "_near_null": number.isNull(),
+                "_near_hash": text_hash,
+            }
+        )
+
+    keys = ["_near_id", "_near_null", "_near_hash"]
+    kept = keyed(one_of_each_group(docs, size=5, percent=80), F.col("text_hash")).select(
+        *keys, F.col("linked").alias("_near_linked")
+    )
+    # Rows of one id and text differ in other columns at most. The window is partitioned
+    # like the join, so texts are shuffled once.
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return (
+        keyed(docs, F.xxhash64("text"))
+        .join(kept, keys)
+        .withColumn("_near_copy", copy)
+        .where(~F.col("_near_linked") | (F.col("_near_copy") == 1))
+        .select(*docs.columns)
+    )
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of ``PASSAGE_WORDS`` words of a benchmark item,
     or a whole shorter item."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS)
-    hit = found.where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    rows = docs.select(_row_key().alias("doc_id"), "text")
+    found = contamination(rows, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS)
+    return _without(docs, found.where("contaminated").select("doc_id"))
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a secret is found."""
     ledger = f"{shared_folder(spark)}/secret-ledger-{uuid4().hex}"
-    found = secret_scan.scan_history(docs.select("doc_id", "text"), ledger)
-    hit = found.where(F.size("findings") > 0).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["found_id"]), "left_anti")
+    rows = docs.select(_row_key().alias("row_key"), "text")
+    found = secret_scan.scan_history(rows, ledger)
+    return _without(docs, found.where(F.size("findings") > 0).select("row_key"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -323,13 +323,42 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     are separate members of their sets' classes; null ids are never the smallest, and
     a component of null ids alone has a null ``component_id`` and keeps all its rows.
     """
+    return _labelled(docs, size, percent).select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, text_hash, linked`` of the documents that stay, each pair once.
+
+    ``text_hash`` is ``xxhash64(text)``. Of each component of ``near_duplicates`` the
+    pair with the smallest id stays, null ids last, and of one id that with the smallest
+    hash. ``linked`` is false for documents without words, which all stay.
+    """
+    linked = F.col("n_shingles") > 0
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
+    return (
+        _labelled(docs, size, percent)
+        .where(~linked | first)
+        .select("doc_id", "text_hash", linked.alias("linked"))
+        .distinct()
+    )
+
+
+def _labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id`` of every row, and the hash of its
+    component's first text."""
     rows = staged(sketches(docs, size), "sketches")
     classes = staged(
         rows.where("n_shingles > 0")
         .groupBy("class", "check", "n_shingles")
         .agg(
-            F.min("doc_id").alias("smallest"),
-            F.min(F.struct("doc_id", "text_hash")).alias("source"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias(
+                "source"
+            ),
             F.first("bands").alias("bands"),
             F.first("bits").alias("bits"),
         ),
@@ -403,24 +432,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.col("node").alias("component"), F.col("component").alias("final")
     )
     placed = (
-        classes.select("class", "smallest")
+        classes.select("class", "source")
         .join(first.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
         .join(second, "component", "left")
-        .select("class", "smallest", F.coalesce("final", "component").alias("component"))
+        .select("class", "source", F.coalesce("final", "component").alias("component"))
+    )
+    lowest = placed.groupBy("component").agg(F.min("source").alias("lowest"))
+    labels = placed.join(lowest, "component").select(
+        "class", F.col("lowest.doc_id").alias("component_id"), F.col("lowest.text_hash").alias("first_hash")
     )
-    lowest = placed.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    labels = placed.join(lowest, "component").select("class", "component_id")
     return (
-        rows.select("doc_id", "n_shingles", "class")
+        rows.select("doc_id", "text_hash", "n_shingles", "class")
         .join(labels, "class", "left")
         .withColumn(
             "component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
         )
-        .select(
-            "doc_id",
-            "n_shingles",
-            "component_id",
-            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        )
+        .select("doc_id", "text_hash", "n_shingles", "component_id", "first_hash")
     )
