@@ -92,9 +92,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of ``PASSAGE_WORDS`` words of a benchmark item,
-    or a whole shorter item."""
+    or a whole shorter item, whether the item has an id or not."""
     rows = docs.select(_row_key().alias("doc_id"), "text")
-    found = contamination(rows, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS)
+    found = contamination(
+        rows, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS, unnamed=True
+    )
     return _without(docs, found.where("contaminated").select("doc_id"))
 
 

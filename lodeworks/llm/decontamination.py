@@ -74,11 +74,11 @@ def build_index(docs: DataFrame) -> DataFrame:
     return staged(rows.withColumn("block", F.col("block") + part), "postings")
 
 
-def phrases(items: DataFrame, size: int) -> DataFrame:
+def phrases(items: DataFrame, size: int, unnamed: bool = False) -> DataFrame:
     """Distinct ``terms, item_id``: each item's windows of ``size`` words.
 
     An item of fewer words is one window, one of none has no window. Items without an
-    id cannot be reported and are left out; a repeated id stands for all its texts.
+    id are left out unless ``unnamed``; a repeated id stands for all its texts.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +101,7 @@ def phrases(items: DataFrame, size: int) -> DataFrame:
             )
 
     return (
-        items.where("item_id IS NOT NULL")
+        items.where(F.lit(unnamed) | F.col("item_id").isNotNull())
         .select(F.col("item_id").cast("string").alias("item_id"), "text")
         .mapInArrow(cut, "terms binary, item_id string")
         .distinct()
@@ -168,7 +168,7 @@ def search(index: DataFrame, phrase_rows: DataFrame, slack: int = 0) -> DataFram
     """Matches of phrases in every indexed document.
 
     Returns ``doc_id, n_words, n_hit`` (words inside an exact occurrence),
-    ``n_items, items_sha256`` (items with an exact occurrence), and with a ``slack``
+    ``n_items, items_sha256`` (items with an id and an exact occurrence), and with a ``slack``
     ``n_near`` (phrases not found exactly whose words all stand within ``slack`` words of
     their places in some alignment).
     Phrase sets above ``PHRASES_AT_ONCE`` rows are searched in blocks, whose hits are
@@ -183,7 +183,7 @@ def search(index: DataFrame, phrase_rows: DataFrame, slack: int = 0) -> DataFram
     hits = None
     for number in range(rounds):
         rows = dealt.where(F.col("_round") == number).select("terms", "item_id").collect()
-        known: dict[bytes, list[str]] = {}
+        known: dict[bytes, list[str | None]] = {}
         for row in rows:
             known.setdefault(bytes(row["terms"]), []).append(row["item_id"])
         shared = spark.sparkContext.broadcast(known)
@@ -215,7 +215,7 @@ FOUND = (
 def _searcher(shared, slack: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        items = list(known.values())
+        items = [[x for x in names if x is not None] for names in known.values()]
         sizes = np.array([len(x) // 8 for x in known], np.int64)
         flat = np.frombuffer(b"".join(known), "<u8")
         begins = np.cumsum(sizes) - sizes
@@ -265,10 +265,13 @@ def _searcher(shared, slack: int):
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, slack: int = 0) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, size: int = 10, slack: int = 0, unnamed: bool = False
+) -> DataFrame:
     """Index ``docs`` (``doc_id, text``) and search the windows of ``benchmark`` in it.
 
     See ``search`` for the columns; there is one row per input row, also for null or
-    repeated ids. ``benchmark`` has ``item_id, text``.
+    repeated ids. ``benchmark`` has ``item_id, text``. With ``unnamed`` passages of items
+    without an id are hits too, only that no item is reported for them.
     """
-    return search(build_index(docs), phrases(benchmark, size), slack)
+    return search(build_index(docs), phrases(benchmark, size, unnamed), slack)

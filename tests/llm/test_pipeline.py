@@ -6,6 +6,7 @@ import pytest
 
 import corpus_pipeline
 from odd_tables import build
+from lodeworks.llm import decontamination
 from lodeworks.llm.common import staged
 from test_text_operators import brute_groups, brute_hits, brute_secrets
 
@@ -52,6 +53,18 @@ def test_rows_of_one_id_or_none_are_judged_apart(spark, tmp_path):
     assert sorted(r["text"] for r in STAGES["secrets"](spark, docs, folder).collect()) == sorted(kept)
 
 
+@pytest.mark.parametrize("at_once", (200_000, 2))
+def test_passages_of_items_without_an_id_count(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(decontamination, "PHRASES_AT_ONCE", at_once)
+    passage = " ".join(f"p{i}" for i in range(12))
+    folder = _benchmark(spark, tmp_path, [(None, passage), (2, "other words"), (None, "other words")])
+    docs = build(spark, [(1, f"a {passage} b", None), (2, "some other words", None), (3, "clean", None)])
+    assert [r["doc_id"] for r in STAGES["decontamination"](spark, docs, folder).collect()] == [3]
+    bench = spark.read.parquet(f"{folder}/benchmark.parquet")
+    got = decontamination.contamination(docs, bench, unnamed=True).orderBy("doc_id").collect()
+    assert [(r["n_hit"], r["n_items"], r["contaminated"]) for r in got] == [(12, 0, True), (2, 1, True), (0, 0, False)]
+
+
 def test_one_row_of_each_near_duplicate_group_stays(spark):
     def text(name, *ends):
         return " ".join([*(f"{name}{i}" for i in range(60)), *ends])
