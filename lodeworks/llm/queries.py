@@ -9,13 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm import chat_format, language_id, secret_scan
+from lodeworks.llm import chat_format, language_id, secret_scan, url_filter
+from lodeworks.llm.alignment import align
 from lodeworks.llm.common import shared_folder, staged, table
 from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.minhash import near_duplicates
 from lodeworks.llm.packing import pack_documents
 from lodeworks.llm.pii import replace_personal_data
 from lodeworks.llm.repeats import remove_repeats
+from lodeworks.llm.resampling import resample
 from lodeworks.llm.token_files import read_token_files, token_file_path, write_token_files
 from lodeworks.llm.topk import quantized, top_k
 
@@ -88,6 +90,41 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.where("id % 50 = 0"), vectors, 5)
 
 
+#: Host, path and verdict.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Pages and documents are numbered alike: a page's outcome is the label of its number.
+    outcomes = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        F.greatest(F.col("quality") == 0, F.col("toxic") == 1).alias("bad"),
+    )
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), outcomes, rules).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_secrets": op2_secrets,
@@ -99,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_top_k": op10_top_k,
+    "op11_url_filter": op11_url_filter,
+    "op12_resampling": op12_resampling,
+    "op13_alignment": op13_alignment,
 }
 
 _ASCII_LOWER = (
@@ -124,6 +164,29 @@ def _chat_escape(text: str) -> str:
     return f"replace(replace({text}, '&', '&amp;'), '<', '&lt;')"
 
 
+def _shrunk_level(name: str, key: str, source: str, parent: str, on: str) -> str:
+    """SQL for one level of priors: ``name`` has ``mean`` and ``strength`` for its groups."""
+    return f"""
+        {name}_in AS (
+            SELECT c.*, p.mean AS prior FROM {source} AS c JOIN {parent} AS p ON {on}
+        ), {name}_k AS (
+            SELECT CASE WHEN room IS NULL OR room = 0 THEN 10.0
+                        WHEN excess / room <= 1.0 / 1001 THEN 1000.0
+                        ELSE greatest(1.0, room / excess - 1) END AS strength
+            FROM (SELECT sum((x - n * prior) ** 2 - n * prior * (1 - prior)) AS excess,
+                         sum((n - 1) * n * prior * (1 - prior)) AS room FROM {name}_in)
+        ), {name} AS (
+            SELECT {key}, n, strength, (x + prior * strength) / (n + strength) AS mean
+            FROM {name}_in, {name}_k
+        )"""
+
+
+_SUFFIXES = ", ".join(f"'{x}'" for x in url_filter.SUFFIXES)
+_URL_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+_FEATURES = """
+    SELECT row, w[i : i + n - 1] AS gram, n FROM {words}, (SELECT unnest([1, 2]) AS n),
+           unnest(range(1, len(w) - n + 2)) AS t(i)"""
+
 ORACLE: dict[str, str] = {
     "op2_secrets": f"""
         WITH d AS (
@@ -261,4 +324,101 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_url_filter": f"""
+        WITH u AS (
+            SELECT page_id, row_number() OVER () AS row,
+                   CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), p AS (
+            SELECT page_id, row, translate(regexp_extract(rest, '^[^/?#]*'),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM u
+        ), outcome AS (
+            SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+            FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)
+            GROUP BY doc_id
+        ), bare AS (
+            SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS x,
+                   regexp_replace(host, '^[^@]*@|:[0-9]*$', '', 'g') AS name
+            FROM p LEFT JOIN outcome ON page_id = doc_id GROUP BY host
+        ), parts AS (
+            SELECT *, string_split(name, '.') AS labels,
+                   CASE WHEN len(string_split(name, '.')) > 2 AND array_to_string(string_split(name, '.')[-2:], '.') IN ({_SUFFIXES})
+                        THEN 2 ELSE 1 END AS width FROM bare
+        ), h AS (
+            SELECT host, n, x,
+                   CASE WHEN whole THEN name ELSE array_to_string(labels[-width:], '.') END AS suffix,
+                   CASE WHEN whole THEN name ELSE array_to_string(labels[-width - 1:], '.') END AS domain
+            FROM (SELECT *, len(labels) <= width OR regexp_full_match(name, '[0-9]+([.][0-9]+){{3}}') AS whole FROM parts)
+        ), d AS (
+            SELECT domain, suffix, sum(n) AS n, sum(x) AS x FROM h GROUP BY ALL
+        ), s AS (SELECT suffix, sum(n) AS n, sum(x) AS x FROM d GROUP BY ALL),
+        root AS (SELECT (sum(x) + 1.0) / (sum(n) + 2) AS mean FROM h),
+        {_shrunk_level("by_suffix", "suffix", "s", "root", "true")},
+        {_shrunk_level("by_domain", "domain, suffix", "d", "by_suffix", "c.suffix = p.suffix")},
+        {_shrunk_level("by_host", "host", "h", "by_domain", "c.domain = p.domain")},
+        reputation AS (
+            SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + strength + 1)) AS least FROM by_host
+        ), rules AS (SELECT * FROM (VALUES {_URL_RULES}) AS r(rule_host, rule_path, rule_verdict)),
+        fits AS (
+            SELECT row, arg_min(concat(rule_host, rule_path), order_key) AS rule,
+                   arg_min(rule_verdict, order_key) AS rule_verdict
+            FROM (
+                SELECT row, rule_host, rule_path, rule_verdict,
+                       concat(lpad((9999 - length(concat(rule_host, rule_path)))::VARCHAR, 4, '0'), rule_verdict) AS order_key
+                FROM p JOIN rules ON (host = rule_host OR ends_with(host, concat('.', rule_host)))
+                                 AND starts_with(path, rule_path)
+            ) GROUP BY row
+        )
+        SELECT page_id, p.host, path, rule,
+               coalesce(rule_verdict, CASE WHEN least > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM p LEFT JOIN fits USING (row) JOIN reputation ON p.host = reputation.host
+    """,
+    "op12_resampling": f"""
+        WITH RECURSIVE bits(i, c, k) AS (
+            SELECT i, i, 0 FROM range(0, 256) AS t(i)
+            UNION ALL
+            SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+        ), crc AS (SELECT i, c FROM bits WHERE k = 8),
+        d AS (
+            SELECT doc_id, row_number() OVER () AS row, regexp_extract_all({_ASCII_LOWER}, '{_TERM}') AS w
+            FROM documents
+        ), b AS (
+            SELECT -row_number() OVER () AS row, regexp_extract_all({_ASCII_LOWER}, '{_TERM}') AS w FROM benchmark
+        ), f AS (
+            SELECT row, array_to_string(gram, ' ') AS feature, count(*) AS times
+            FROM ({_FEATURES.format(words="d")} UNION ALL {_FEATURES.format(words="b")}) GROUP BY ALL
+        ), hashed(feature, h, register) AS (
+            SELECT feature, hex(encode(feature)), 4294967295 FROM (SELECT DISTINCT feature FROM f)
+            UNION ALL
+            SELECT feature, substr(h, 3), xor(register >> 8, c)
+            FROM hashed JOIN crc ON i = xor(register & 255, ('0x' || substr(h, 1, 2))::BIGINT) WHERE h <> ''
+        ), placed AS (
+            SELECT row, times, xor(register, 4294967295) % 10000 AS bucket
+            FROM f JOIN hashed USING (feature) WHERE h = ''
+        ), buckets AS (
+            SELECT bucket, coalesce(sum(times) FILTER (row > 0), 0) AS s, coalesce(sum(times) FILTER (row < 0), 0) AS t
+            FROM placed GROUP BY bucket
+        ), gain AS (
+            SELECT bucket, floor(1000 * ln((buckets.t + 1)::DOUBLE * (total.s + 10000)::DOUBLE
+                       / ((buckets.s + 1)::DOUBLE * (total.t + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM buckets, (SELECT sum(s) AS s, sum(t) AS t FROM buckets) AS total
+        ), weight AS (
+            SELECT row, sum(times)::BIGINT AS n_features, sum(times * gain)::BIGINT AS total
+            FROM placed JOIN gain USING (bucket) GROUP BY row
+        ), scored AS (
+            SELECT row, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+                   coalesce(floor(total::DOUBLE / n_features), 0)::BIGINT AS weight,
+                   ('0x' || substr(sha256(concat('7:', doc_id)), 1, 8))::BIGINT AS h
+            FROM d LEFT JOIN weight USING (row)
+        ), told AS (
+            SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM scored
+        ), ranked AS (
+            SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, row) AS rank,
+                   25 * count(*) OVER () // 100 AS drawn FROM told WHERE n_words >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank
+        FROM told LEFT JOIN ranked USING (row)
+    """,
 }

@@ -5,13 +5,14 @@ between letters and punctuation. A text's ids are therefore the ids of its piece
 (a run of white space with the word behind it, or a run of punctuation), end to end. A
 worker encodes each distinct piece once and keeps a bounded store of those it has
 seen. Cuts are made between ASCII characters only, and none behind an apostrophe,
-which may start a contraction; texts with white space outside ASCII go to the
-tokenizer whole.
+which may start a contraction; texts with white space outside ASCII, or with the name of a
+control token unless that is to be plain text, go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -39,24 +40,30 @@ LETTER_RUN = r"^ ?[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
 #: A control character that separates pieces encoded in one call.
 MARK = "\x01"
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """The worker's encoder of a tokenizer file, kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+def encoder(path: str, plain_text: bool = False) -> PieceEncoder:
+    """The worker's encoder of a tokenizer file, kept between tasks (see ``PieceEncoder``)."""
+    if (path, plain_text) not in _encoders:
+        _encoders[path, plain_text] = PieceEncoder(path, plain_text)
+    return _encoders[path, plain_text]
 
 
 class PieceEncoder:
-    def __init__(self, path: str):
+    """The ids that the tokenizer of a file gives whole texts.
+
+    The name of a control token inside a text becomes that token, as the library has it;
+    with ``plain_text`` it is encoded like any other text.
+    """
+
+    def __init__(self, path: str, plain_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # A control token's name inside a text is ordinary text.
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = plain_text
+        self._names = None if plain_text else self._control_names()
         ids = lambda x: self._tokenizer.encode(x, add_special_tokens=False).ids
         self._drops_space = ids(" a\n. b ") == ids("a . b")
         self._lowers = ids("A") == ids("a") and ids("ZQ") == ids("zq")
@@ -65,6 +72,20 @@ class PieceEncoder:
         self._words = self._word_model() if self._drops_space and self._lowers else None
         self._forget()
 
+    def _control_names(self) -> str | None:
+        """A pattern that finds every text that may name a token added to the vocabulary."""
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        names = sorted({token.content.strip() for token in added})
+        return "(?i)" + "|".join(map(re.escape, names)) if names else None
+
+    def vocabulary(self) -> list[str]:
+        """The token of each id."""
+        known = self._tokenizer.get_vocab()
+        tokens = [""] * (max(known.values()) + 1)
+        for token, i in known.items():
+            tokens[i] = token
+        return tokens
+
     def _word_model(self):
         """The tokenizer's model behind a split at line ends alone, and which ids end a word.
 
@@ -195,6 +216,8 @@ class PieceEncoder:
         """All ids end to end, and the number of ids of each text (null: none)."""
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, OTHER_SPACE)
+        if self._names:
+            odd = pc.or_(odd, pc.match_substring_regex(texts, self._names))
         if not pc.any(odd).as_py():
             return self._by_pieces(texts)
         odd = odd.to_numpy(zero_copy_only=False)

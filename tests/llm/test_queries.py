@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language",
         "near_duplicates",
@@ -33,7 +33,7 @@ def test_every_operator_has_a_query():
     ]
 
 
-@pytest.mark.parametrize("name", ("op2_secrets", "op6_chat"))
+@pytest.mark.parametrize("name", ("op2_secrets", "op6_chat", "op11_url_filter"))
 def test_native_plans_have_no_python(spark, name):
     plan = queries.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"):
