@@ -284,9 +284,10 @@ def brute_align(docs):
     return out
 
 
-def test_alignment_matches_brute_force(spark, odd_rows, monkeypatch):
-    monkeypatch.setattr(alignment, "BLOCK_BYTES", 300)
-    monkeypatch.setattr(alignment, "LINKS_AT_ONCE", 50)
+@pytest.mark.parametrize("large", (4, 4096))
+def test_alignment_matches_brute_force(spark, odd_rows, monkeypatch, large):
+    for name, value in (("BLOCK_BYTES", 900), ("STEP_BYTES", 300), ("LINKS_AT_ONCE", 50), ("LARGE_GROUP", large)):
+        monkeypatch.setattr(alignment, name, value)
     rng = random.Random(3)
     rows = [(i, t[:3000] if t else t, lang) for i, t, lang in odd_rows]
     odd = ["a▁b", "▁", " ", "  x  ", "<s> </s> <unk> <|endoftext|>", "\x00\x01", "naïve café", "漢字とかな", "=" * 200,
@@ -315,7 +316,7 @@ def test_long_misaligned_groups_stay_small():
     """Groups of many equal tokens are merged before their links are formed."""
     block = alignment._Aligned.__new__(alignment._Aligned)
     block.a, block.b = np.zeros(200_000, np.int64), np.ones(100_000, np.int64)
-    block.group_a, block.group_b = np.array([200_000]), np.array([100_000])
+    block.group_a, block.group_b = block.end_a, block.end_b = np.array([200_000]), np.array([100_000])
     block.n_groups = np.array([1])
     doc, pair, times = block.links()
     assert (doc.tolist(), pair.tolist(), times.tolist()) == ([0], [1], [200_000 * 100_000])
