@@ -7,6 +7,7 @@ control strings that escaped text cannot contain:
 
     <|turn|>ROLE<|body|>CONTENT<|end|>
 
+Placeholders are written ``<|part:KIND|>``, so that no kind can be a control string.
 In roles and texts ``&`` is written ``&amp;`` and ``<`` is written ``&lt;``, so no ``<``
 of theirs is left, and the reverse replacement restores them.
 """
@@ -23,6 +24,8 @@ PART = (
 )
 #: Edge of the square that one image token shows, audio tokens a second, tokens a page.
 IMAGE_EDGE, AUDIO_RATE, PAGE_TOKENS = 28, 25, 512
+#: The greatest size of a part that is believed.
+MOST = 2**31 - 1
 
 
 def text_part(text: Column) -> Column:
@@ -52,16 +55,18 @@ def unescaped(text: Column) -> Column:
 def _visited(part: Column) -> Column:
     """A part's written form, and its reference and token count if it is an attachment."""
     zero = F.lit(0).cast("bigint")
-    cells = lambda x: F.ceil(F.greatest(F.coalesce(x, F.lit(0)), F.lit(0)) / IMAGE_EDGE)
+    # Sizes that are unknown, negative or no numbers count as none.
+    known = lambda x, none: F.when(x.between(none, MOST), x).otherwise(F.lit(none))
+    cells = lambda x: F.ceil(known(x, 0) / IMAGE_EDGE)
     kind = F.coalesce(part["kind"], F.lit("text"))
     tokens = (
         F.when(kind == "image", cells(part["width"]) * cells(part["height"]))
-        .when(kind == "audio", F.ceil(F.coalesce(part["seconds"], F.lit(0.0)) * AUDIO_RATE))
-        .when(kind == "document", F.coalesce(part["pages"], F.lit(0)).cast("bigint") * PAGE_TOKENS)
+        .when(kind == "audio", F.ceil(known(part["seconds"], 0.0) * AUDIO_RATE))
+        .when(kind == "document", known(part["pages"], 0).cast("bigint") * PAGE_TOKENS)
         .otherwise(zero)
     )
     written = F.when(kind == "text", escaped(F.coalesce(part["text"], F.lit("")))).otherwise(
-        F.concat(F.lit("<|"), F.regexp_replace(kind, "[^A-Za-z0-9_]", "_"), F.lit("|>"))
+        F.concat(F.lit("<|part:"), F.regexp_replace(kind, "[^A-Za-z0-9_]", "_"), F.lit("|>"))
     )
     return F.struct(
         written.alias("written"),
@@ -79,7 +84,7 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
     with kind, reference and tokens; and ``attachment_tokens``. Turns stand in order of
     ``turn`` (null first), then role and content. Null roles and texts are empty, a turn
     without parts has an empty body, a part of another kind is an attachment without
-    tokens. Rows without a ``conv_id`` make one conversation.
+    tokens, a missing, negative or infinite size counts as 0. Rows without a ``conv_id`` make one conversation.
     """
     role = escaped(F.coalesce("role", F.lit("")))
     visited = F.transform(

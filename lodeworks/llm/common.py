@@ -19,10 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; the session's warehouse where none is named."""
+    """The cluster's shared folder. A local session without one uses its warehouse; elsewhere
+    that may be a folder of the driver's machine, so that not naming one is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
 
 

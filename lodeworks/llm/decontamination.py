@@ -74,11 +74,11 @@ def build_index(docs: DataFrame) -> DataFrame:
     return staged(rows.withColumn("block", F.col("block") + part), "postings")
 
 
-def phrases(items: DataFrame, size: int, unnamed: bool = False) -> DataFrame:
+def phrases(items: DataFrame, size: int, unnamed: bool = True) -> DataFrame:
     """Distinct ``terms, item_id``: each item's windows of ``size`` words.
 
     An item of fewer words is one window, one of none has no window. Items without an
-    id are left out unless ``unnamed``; a repeated id stands for all its texts.
+    id have windows as well, unless not ``unnamed``; a repeated id stands for all its texts.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,12 +266,12 @@ def _searcher(shared, slack: int):
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, slack: int = 0, unnamed: bool = False
+    docs: DataFrame, benchmark: DataFrame, size: int = 10, slack: int = 0, unnamed: bool = True
 ) -> DataFrame:
     """Index ``docs`` (``doc_id, text``) and search the windows of ``benchmark`` in it.
 
     See ``search`` for the columns; there is one row per input row, also for null or
-    repeated ids. ``benchmark`` has ``item_id, text``. With ``unnamed`` passages of items
-    without an id are hits too, only that no item is reported for them.
+    repeated ids. ``benchmark`` has ``item_id, text``. Passages of items without an id are hits
+    too, only that no item is reported for them; without ``unnamed`` they are left out.
     """
     return search(build_index(docs), phrases(benchmark, size, unnamed), slack)

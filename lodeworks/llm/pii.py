@@ -62,6 +62,13 @@ ENDINGS = {
     "greek": {"f": "νη", "m": "νος", "n": "νι", "surname": "ίδης"},
 }
 
+#: Words behind which two capitalised words are a name.
+CUES = (
+    "my name is", "i am", "i'm", "this is", "name:", "named", "contact", "contact:", "author:",
+    "from:", "to:", "attn:", "regards,", "sincerely,", "signed,", "signed by", "signed:", "dear",
+)
+_ALL_CUES = "|".join(sorted(map(re.escape, CUES), key=len, reverse=True))
+
 _CAPITAL = "[^\\W\\d_a-zß-öø-ÿа-яёά-ώ]"
 _NAME = rf"{_CAPITAL}[^\W\d_]+(?:-{_CAPITAL}[^\W\d_]+)?"
 _ALL_TITLES = "|".join(t for titles in TITLES.values() for t in titles)
@@ -84,12 +91,6 @@ def _digits(text: str) -> str:
 
 #: Kind, pattern, canonical form and test, in order of precedence.
 PATTERNS: tuple[tuple[str, re.Pattern, Callable[[str], str], Callable[[str], bool]], ...] = (
-    (
-        "email",
-        re.compile(r"[\w.%+-]*[\w%+-]@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-        str.lower,
-        lambda x: True,
-    ),
     (
         "iban",
         re.compile(
@@ -111,6 +112,8 @@ PATTERNS: tuple[tuple[str, re.Pattern, Callable[[str], str], Callable[[str], boo
             r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
             r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
             r"|(?<![0-9A-Za-z.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
+            r"|(?<![0-9A-Za-z.+-])[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9])"
+            r"|(?<![0-9A-Za-z.+-])0[0-9]{2,4} [0-9]{3,4} [0-9]{3,4}(?![0-9])"
         ),
         lambda x: ("+" if x[0] == "+" else "") + _digits(x),
         lambda x: 7 <= len(x.lstrip("+")) <= 15,
@@ -130,13 +133,20 @@ PATTERNS: tuple[tuple[str, re.Pattern, Callable[[str], str], Callable[[str], boo
 )
 PERSON = re.compile(
     rf"(?<!\w)(?:(?P<title>{_ALL_TITLES})\.?[ ](?P<named>{_NAME}(?:[ ]{_NAME})?)"
-    rf"|(?P<given>{_ALL_GIVEN})[ ](?P<surname>{_NAME}))"
+    rf"|(?P<given>{_ALL_GIVEN})[ ](?P<surname>{_NAME})"
+    rf"|(?i:{_ALL_CUES})[ \n](?P<cued>{_NAME}[ ]{_NAME})(?!\w))"
 )
+WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
+#: An address is looked for from its ``@``: the part before it has this many characters at
+#: most, as the standard says, so that a long run of letters costs nothing.
+LOCAL_PART = 64
+_LOCAL = re.compile(r"[\w.%+-]*[\w%+-]\Z")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 #: A test that every text with an entity passes, for an engine whose time does not depend
 #: on the number of alternatives.
 MAYBE = (
     r"@|[0-9][0-9() .-]{5,}[0-9]|[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}"
-    rf"|(?:{_ALL_TITLES}|{_ALL_GIVEN})\.? "
+    rf"|(?:{_ALL_TITLES}|{_ALL_GIVEN})\.? |(?i:{_ALL_CUES})[ \n]"
 )
 
 _GENDER_OF = {n.lower(): g for g, names in (*TITLES.items(), *GIVEN.items()) for n in names}
@@ -150,8 +160,9 @@ def _script(name: str) -> str:
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``start, end, kind, canonical`` of the entities, without overlaps, by place.
 
-    An earlier kind of ``PATTERNS`` takes precedence over later ones and names. The parts
-    of a name are entities of their own, ``given_f``, ``given_m``, ``given_n`` and ``surname``.
+    Addresses take precedence over ``PATTERNS``, earlier kinds of these over later ones and
+    over names. The parts of a name are entities of their own, ``given_f``, ``given_m``,
+    ``given_n`` and ``surname``; a name's parts are also found where they stand alone.
     """
     found: list[tuple[int, int, str, str]] = []
     taken: set[int] = set()
@@ -161,13 +172,25 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             taken.update(range(start, end))
             found.append((start, end, kind, canonical))
 
+    last = 0
+    at = text.find("@")
+    while at >= 0:
+        local = _LOCAL.search(text[max(last, at - LOCAL_PART) : at])
+        domain = local and _DOMAIN.match(text, at + 1)
+        if domain:
+            start, last = at - len(local[0]), domain.end()
+            add(start, last, "email", text[start:last].lower())
+        at = text.find("@", at + 1)
     for kind, pattern, canonical, valid in PATTERNS:
         for match in pattern.finditer(text):
             value = canonical(match[0])
             if valid(value):
                 add(match.start(), match.end(), kind, value)
+    names: dict[str, str] = {}
     for match in PERSON.finditer(text):
-        if match["title"]:
+        if match["cued"]:
+            gender, parts, at = "n", match["cued"].split(" "), match.start("cued")
+        elif match["title"]:
             gender = _GENDER_OF[match["title"].lower()]
             parts = match["named"].split(" ")
             at = match.start("named")
@@ -177,8 +200,14 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         for k, part in enumerate(parts):
             last = k == len(parts) - 1
             own = _GENDER_OF.get(part.lower(), gender)
-            add(at, at + len(part), "surname" if last else f"given_{own}", part.lower())
+            kind = "surname" if last else f"given_{own}"
+            add(at, at + len(part), kind, part.lower())
+            names.setdefault(part, kind)
             at += len(part) + 1
+    if names:
+        for match in WORD.finditer(text):
+            if match[0] in names:
+                add(match.start(), match.end(), names[match[0]], match[0].lower())
     return sorted(found)
 
 
@@ -196,6 +225,9 @@ class _Draw:
         self._left, value = divmod(self._left, n)
         return value
 
+    def tag(self) -> str:
+        return self._state[:16].hex()
+
     def like(self, text: str) -> str:
         """Letters for letters and digits for digits."""
         return "".join(
@@ -204,15 +236,23 @@ class _Draw:
         )
 
 
+#: Attempts after which a kind draws from a wider space, and after which an entity gets a
+#: tag instead, which keeps neither format nor script, but ends the search.
+WIDER, LAST = 4, 24
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     """The canonical form of an entity's replacement in the given attempt."""
     draw = _Draw(key, kind, canonical, str(attempt))
     if kind == "email":
+        # The domain is an entity of its own (see ``surrogates``).
         local, domain = canonical.rsplit("@", 1)
-        # One surrogate for a domain, whoever writes from it; the last label stays.
-        *labels, last = domain.split(".")
-        shared = _Draw(key, "domain", domain)
-        return f"{draw.like(local)}@{'.'.join([*(shared.like(x) for x in labels), last])}"
+        return f"{draw.like(local + 'a' * (attempt // WIDER))}@{domain}"
+    if kind == "domain":
+        # The last label stays.
+        *labels, last = canonical.split(".")
+        labels = [*labels[:-1], "".join([*labels[-1:], "a" * (attempt // WIDER)])]
+        return ".".join([*(draw.like(x) for x in labels if x), last])
     if kind == "card":
         body = canonical[0] + draw.like(canonical[1:-1])
         return next(body + str(d) for d in range(10) if _luhn(body + str(d)))
@@ -226,6 +266,9 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     if kind == "ip":
         octets = canonical.split(".")
         kept = 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] else 0
+        # Where such addresses run short, others of the private range 10 and then any.
+        if kept and attempt >= WIDER:
+            octets, kept = ["10", *octets[1:]], int(attempt < 2 * WIDER)
         return ".".join([*octets[:kept], *(str(1 + draw.below(254)) for _ in octets[kept:])])
     if kind == "iban":
         body = draw.like(canonical[4:].lower()).upper()
@@ -238,7 +281,9 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
 
 
 def render(kind: str, mention: str, value: str) -> str:
-    """The surrogate in the mention's own format: separators and capitals."""
+    """The surrogate in the mention's own format: separators and capitals. A tag stays."""
+    if value.startswith("["):
+        return value
     if kind in ("card", "phone", "ssn", "iban"):
         fresh = iter(value.lstrip("+"))
         return "".join(next(fresh) if c.isalnum() else c for c in mention)
@@ -300,7 +345,7 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [
-                surrogate(key, *told)
+                surrogate(key, *told) if told[2] < LAST else f"[{told[0]} {_Draw(key, *told[:2]).tag()}]"
                 for told in zip(*(batch.column(c).to_pylist() for c in ("kind", "canonical", "attempt")))
             ]
             yield batch.append_column("surrogate", pa.array(values, pa.string()))
@@ -315,18 +360,34 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 
     Of the entities that draw the same surrogate the one with the smallest canonical form
     keeps it, unless it is an entity itself or an earlier round gave it away; the others
-    draw again. Rounds end when nothing is left, which soon happens, as a round leaves only
-    the colliding ones.
+    draw again. A round leaves only the colliding ones, later rounds draw from wider spaces,
+    and whatever is left after ``LAST`` rounds gets a tag made of its 128-bit hash. Domains
+    of addresses are entities of their own, settled first: different domains stay
+    different, and all addresses of one move together.
     """
     entities = staged(entities, "entities")
+    domains = entities.where("kind = 'email'").select(
+        F.lit("domain").alias("kind"), F.substring_index("canonical", "@", -1).alias("canonical")
+    )
+    moved = staged(_settled(domains.distinct(), key), "domains").select(
+        F.col("canonical").alias("domain"), F.col("surrogate").alias("moved")
+    )
+    return _settled(entities, key, moved)
+
+
+def _settled(entities: DataFrame, key: bytes, domains: DataFrame | None = None) -> DataFrame:
+    """Rounds of draws until every entity has a surrogate; the ``domains`` of addresses are
+    replaced as these say."""
     taken = entities.select("kind", F.col("canonical").alias("surrogate"))
     pending = entities.withColumn("attempt", F.lit(0))
     done = None
     while True:
         in_order = Window.partitionBy("kind", "surrogate").orderBy("canonical")
+        fresh = _drawn(pending, key)
+        if domains is not None:
+            fresh = _with_domains(fresh, domains)
         drawn = staged(
-            _drawn(pending, key)
-            .withColumn("place", F.row_number().over(in_order))
+            fresh.withColumn("place", F.row_number().over(in_order))
             .join(taken.withColumn("known", F.lit(True)), ["kind", "surrogate"], "left")
             .withColumn("fits", (F.col("place") == 1) & F.col("known").isNull()),
             "surrogates",
@@ -341,11 +402,27 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         taken = taken.unionByName(settled.select("kind", "surrogate"))
 
 
+def _with_domains(drawn: DataFrame, domains: DataFrame) -> DataFrame:
+    """The same with addresses at the surrogates of their domains."""
+    own = F.when(F.col("kind") == "email", F.substring_index("canonical", "@", -1))
+    address = drawn.where("kind = 'email'").withColumn("domain", own).join(domains, "domain")
+    local = F.substring_index("surrogate", "@", 1)
+    tagged = F.startswith(F.col("surrogate"), F.lit("["))
+    return drawn.where("kind <> 'email'").unionByName(
+        address.withColumn(
+            "surrogate",
+            F.when(tagged, F.col("surrogate")).otherwise(F.concat_ws("@", local, "moved")),
+        ).drop("domain", "moved")
+    )
+
+
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     """``doc_id, text, n_entities, kinds`` for every row of ``doc_id, text``.
 
-    ``kinds`` lists the kinds found, sorted. A text without entities, also null, comes back
-    as it is. The same ``key`` and corpus give the same surrogates.
+    ``kinds`` lists the kinds found, sorted. A text without entities, also null or empty,
+    comes back as it is. The same ``key`` and corpus give the same surrogates. There is one
+    row per input row, repeated rows included, and further columns are left out. Texts of
+    any length take time in proportion to it.
     """
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))

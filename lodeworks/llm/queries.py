@@ -149,15 +149,24 @@ _TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _secret_matches() -> str:
-    """SQL for one row per match of every rule."""
-    return " UNION ALL ".join(
-        f"""SELECT row, {number} AS kind_no, '{rule.kind}' AS kind, '{rule.kind}' IN
+    """SQL for one row per match of every rule.
+
+    DuckDB's patterns cannot look back: where a character may not stand before a match,
+    one that may is matched as well and taken off again (``lead``).
+    """
+    parts = []
+    for number, rule in enumerate(secret_scan.RULES):
+        pattern = f"(^|[^{rule.within}])({rule.core})" if rule.within else rule.core
+        group = 2 if rule.within else rule.group
+        lead = f"regexp_extract_all(text, $${pattern}$$, 1)" if rule.within else "NULL"
+        parts.append(
+            f"""SELECT row, {number} AS kind_no, '{rule.kind}' AS kind, '{rule.kind}' IN
             ('assign', 'access', 'hex') AS base, {rule.least} AS least,
-            regexp_extract_all(text, $${rule.pattern}$$) AS m,
-            regexp_extract_all(text, $${rule.pattern}$$, {rule.group}) AS v,
-            regexp_split_to_array(text, $${rule.pattern}$$) AS gaps FROM d"""
-        for number, rule in enumerate(secret_scan.RULES)
-    )
+            regexp_extract_all(text, $${pattern}$$) AS m,
+            regexp_extract_all(text, $${pattern}$$, {group}) AS v,
+            regexp_split_to_array(text, $${pattern}$$) AS gaps, {lead} AS lead FROM d"""
+        )
+    return " UNION ALL ".join(parts)
 
 
 def _chat_escape(text: str) -> str:
@@ -194,8 +203,9 @@ ORACLE: dict[str, str] = {
         ), m AS ({_secret_matches()}), f AS (
             SELECT row, kind_no, kind, base,
                    list_sum(list_transform(gaps[1 : i], lambda x: length(x)))
-                   + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0) AS s,
-                   length(m[i]) AS n
+                   + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0)
+                   + coalesce(length(lead[i]), 0) AS s,
+                   length(m[i]) - coalesce(length(lead[i]), 0) AS n
             FROM m, unnest(range(1, len(m) + 1)) AS t(i) WHERE length(v[i]) >= least
         ), g AS (
             SELECT row, count(*) FILTER (kind = 'assign') AS n_assign,
@@ -286,7 +296,7 @@ ORACLE: dict[str, str] = {
                    regexp_extract_all({_ASCII_LOWER}, '{_TERM}') AS w FROM documents
         ), b AS (
             SELECT item_id::VARCHAR AS item, regexp_extract_all({_ASCII_LOWER}, '{_TERM}') AS w
-            FROM benchmark WHERE item_id IS NOT NULL
+            FROM benchmark
         ), phrase AS (
             SELECT DISTINCT item, least(10, len(w)) AS n, w[i : i + least(10, len(w)) - 1] AS p
             FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0
@@ -300,7 +310,7 @@ ORACLE: dict[str, str] = {
             FROM (SELECT row, unnest(range(i, i + n)) AS pos FROM found) GROUP BY row
         ), items AS (
             SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-            FROM (SELECT DISTINCT row, item FROM found) GROUP BY row
+            FROM (SELECT DISTINCT row, item FROM found WHERE item IS NOT NULL) GROUP BY row
         )
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
                coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,

@@ -18,7 +18,6 @@ FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 
 def plain(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -30,6 +29,8 @@ def test_pieces_give_the_ids_of_whole_texts(name):
         "the", "%%", "…", "🙂", "²", "K", "İ", "\x85", " ", "Σ",
     ]
     texts = ["".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(3000)] + [None, ""]
+    for name_ in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext"):
+        texts += [name_, f"a {name_} b", f"{name_}b ", f" a\n{name_}", f"{name_}{name_}'s", f"é {name_}\u3000"]
     ids, counts = token_ids.encoder(public_tokenizers.path(name)).encode(pa.array(texts))
     encode, at = plain(name), 0
     for text, n in zip(texts, counts):
@@ -37,6 +38,16 @@ def test_pieces_give_the_ids_of_whole_texts(name):
         at += n
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_control_names_can_be_plain_text(name):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    tokenizer.encode_special_tokens = True
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>'s  <|endoftext|>\n"]
+    ids, counts = token_ids.encoder(public_tokenizers.path(name), plain_text=True).encode(pa.array(texts))
+    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(wanted, []) and counts.tolist() == list(map(len, wanted))
+
+
 @settings(max_examples=150, deadline=None)
 @given(
     st.lists(
