@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +25,8 @@ from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.minhash import one_of_each_group
 from lodeworks.llm.packing import pack_documents
 
+import public_tokenizers  # noqa: E402 - behind lodeworks.llm, whose absence is to be told first
+
 #: Words of a benchmark passage for which a document goes, and ids of a packed sequence.
 PASSAGE_WORDS, CAPACITY = 10, 2048
 
@@ -94,9 +95,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drop documents that hold a passage of ``PASSAGE_WORDS`` words of a benchmark item,
     or a whole shorter item, whether the item has an id or not."""
     rows = docs.select(_row_key().alias("doc_id"), "text")
-    found = contamination(
-        rows, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS, unnamed=True
-    )
+    found = contamination(rows, table(spark, sf_dir, "benchmark"), size=PASSAGE_WORDS)
     return _without(docs, found.where("contaminated").select("doc_id"))
 
 

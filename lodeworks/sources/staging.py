@@ -12,11 +12,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the session.
 
-    Without the setting it lies in the session's warehouse, which is shared as well.
+    A local session without the setting uses its warehouse. Elsewhere that may be a folder
+    of the driver's machine, so that a missing setting is an error.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_DIR
     )
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors reach")
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
 
 
