@@ -38,14 +38,9 @@ from lodeworks.sources.jdbc import (
 )
 from lodeworks.sources.session import session
 from lodeworks.sources.sinks import replace_parquet, write_delimited, write_parquet
+from lodeworks.sources.snapshots import publish_set, remove_snapshots
 from lodeworks.sources.staging import fresh_path
-from lodeworks.sources.tables import (
-    ensure_database,
-    publish_table,
-    register_external,
-    remove_superseded,
-    scan_table,
-)
+from lodeworks.sources.tables import ensure_database, register_external, scan_table
 from lodeworks.streaming.incremental import (
     CUTOFF,
     incremental_append,
@@ -117,19 +112,18 @@ def run_silver(
 def run_gold(
     stats: DataFrame, games: DataFrame, gold_db: str, base_path: str, keep: int = 1
 ) -> list[str]:
-    """Publish all gold tables from one pass over each silver table.
+    """Publish all gold tables as one snapshot, from one pass over each silver table.
 
-    Afterwards the staged aggregates and all but ``keep`` earlier publications are deleted.
+    All names change in one catalog operation (see ``snapshots.publish_set``). Afterwards
+    the staged aggregates and all but ``keep`` earlier snapshots are deleted.
     """
     spark = stats.sparkSession
-    ensure_database(spark, gold_db)
     players, teams = fresh_path(spark, "player-seasons"), fresh_path(spark, "team-seasons")
     write_parquet(player_seasons(stats), players)
     write_parquet(team_seasons(games), teams)
     tables = gold_tables_from_seasons(scan_parquet(spark, players), scan_parquet(spark, teams))
-    for name, table in tables.items():
-        current = publish_table(table, f"{gold_db}.{name}", base_path)
-        remove_superseded(spark, f"{gold_db}.{name}", base_path, current, keep)
+    publish_set(spark, tables, gold_db, base_path)
+    remove_snapshots(spark, gold_db, base_path, tables, keep)
     for path in (players, teams):
         storage.remove(spark, path)
     return list(tables)

@@ -13,6 +13,35 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [name for name in required if name.lower() not in available]
 
 
+def column_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``column_name, present, known`` for every required column, in one pass over the rows.
+
+    Names are compared without regard to case, like everywhere; ``known`` counts the
+    values that are not NULL and is NULL for a column that is not there. A name asked for
+    twice is reported once. No required columns, no rows.
+    """
+    own = {name.lower(): name for name in df.columns}
+    first: dict[str, str] = {}
+    for name in required:
+        first.setdefault(name.lower(), name)
+    wanted = list(first.values())
+    found = [own.get(name.lower()) for name in wanted]
+    totals = df.agg(
+        F.count(F.lit(1)).alias("all"),
+        *(F.count(f"`{name}`").alias(f"m{i}") for i, name in enumerate(found) if name),
+    )
+    cells = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(found[i] is not None).alias("present"),
+            (F.col(f"m{i}") if found[i] else F.lit(None).cast("bigint")).alias("known"),
+        )
+        for i, name in enumerate(wanted)
+    ]
+    kind = "array<struct<column_name:string,present:boolean,known:bigint>>"
+    return totals.select(F.inline(F.array(*cells).cast(kind)))
+
+
 def _violations(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 

@@ -62,6 +62,13 @@ FACT_COLUMNS = (
 )
 
 
+#: The join keys of the fact on either side, in the order in which both are bucketed.
+FACT_KEYS = {
+    "player_statistics": ("gameId", "playerteamName"),
+    "team_statistics": ("gameId", "teamName"),
+}
+
+
 def dim_players(players: DataFrame) -> DataFrame:
     return players.select(*PLAYER_COLUMNS)
 
@@ -88,6 +95,7 @@ def fact_stats(
     player_statistics: DataFrame,
     team_statistics: DataFrame,
     games: DataFrame | None = None,
+    co_located: bool = False,
 ) -> DataFrame:
     """Player lines widened by the line of their team in the same game.
 
@@ -99,6 +107,10 @@ def fact_stats(
     ``games`` takes part only as a further left join of which no column is kept.
     It changes nothing while game ids are unique there, so callers leave it out
     unless they need the row multiplication of a table with repeated ids.
+
+    ``co_located`` is for tables that are bucketed alike by game and team (see
+    ``sinks.write_bucketed`` and ``FACT_KEYS``): they are merged as they lie, with nothing
+    shuffled or broadcast.
     """
     team = team_statistics.select(
         F.col("gameid").alias("team_gameid"),
@@ -108,6 +120,8 @@ def fact_stats(
     lines = player_statistics.withColumnsRenamed(
         {"playerteamname": "teamname", "playerteamcity": "teamcity"}
     ).withColumn("rebounds", F.try_add(F.col("reboundsoffensive"), F.col("reboundsdefensive")))
+    if co_located:
+        team = team.hint("merge")
     own = [name for name in FACT_COLUMNS if name not in FACT_FROM_TEAMS]
     fact = lines.select(*own).join(
         team,

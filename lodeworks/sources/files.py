@@ -53,7 +53,7 @@ def _fields(sep: str, schema: StructType) -> list[Column]:
 
 def scan_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType,
     sep: str = ",",
     null_value: str | None = None,

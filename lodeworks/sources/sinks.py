@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from lodeworks.sources import storage
@@ -57,6 +59,62 @@ def replace_parquet(df: DataFrame, path: str, **layout) -> None:
         raise
 
 
+def partition_filter(partitions: Sequence[Row], columns: Sequence[str]) -> Column:
+    """Rows of the given partitions, as constants that prune directories before the scan."""
+    if len(columns) == 1:
+        name = columns[0]
+        values = [p[name] for p in partitions if p[name] is not None]
+        found = F.col(name).isin(values)
+        return found | F.col(name).isNull() if len(values) < len(partitions) else found
+    cells = [
+        reduce(and_, (F.col(c).eqNullSafe(F.lit(p[c])) for c in columns)) for p in partitions
+    ]
+    return reduce(or_, cells, F.lit(False))
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], touched: Sequence[Row]
+) -> None:
+    """Replace the ``touched`` partitions of a directory; files of all others stay.
+
+    ``df`` holds everything that these partitions are to have and must not be read from
+    ``path``. Partitions for which it has no rows are removed after the others are
+    written. Running it again with the same rows gives the same directory.
+    """
+    spark = df.sparkSession
+    writer = laid_out(df, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    filled = {tuple(r) for r in df.select(*partition_by).distinct().collect()}
+    for gone in touched:
+        if tuple(gone[c] for c in partition_by) not in filled:
+            where = "/".join(f"{c}={_directory(gone[c])}" for c in partition_by)
+            storage.remove(spark, f"{path.rstrip('/')}/{where}")
+
+
+def _directory(value: object) -> str:
+    """How a partition value is spelled in directory names."""
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    escaped = "\"#%'*/:=?\\{[]^\x7f"
+    return "".join(f"%{ord(c):02X}" if c in escaped or c < " " else c for c in text)
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """Replace an external table whose files are dealt out and sorted by ``keys``.
+
+    Tables with the same number of buckets are joined on the same keys without a shuffle.
+    The rows are dealt out before the write, so that there is one file a
+    bucket: with many tasks each would otherwise write its own part of every bucket.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.read.table(name)
+
+
 def _written(df: DataFrame, name: str, sep: str) -> Column:
     kind = df.schema[name].dataType
     column = F.col(f"`{name}`")

@@ -33,6 +33,40 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().toString() for x in found]
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of all data files below a path, relative to it; hidden ones are left out."""
+    storage, place = _at(spark, path)
+    if not storage.exists(place):
+        return []
+    root = storage.getFileStatus(place).getPath().toUri().getPath().rstrip("/") + "/"
+    found, files = [], storage.listFiles(place, True)
+    while files.hasNext():
+        name = files.next().getPath().toUri().getPath().removeprefix(root)
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet."""
+    storage, place = _at(spark, path)
+    out = storage.create(place, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The contents of a small file."""
+    storage, place = _at(spark, path)
+    stream = storage.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def replace_directory(spark: SparkSession, new: str, path: str) -> None:
     """Put a completely written directory in the place of another.
 

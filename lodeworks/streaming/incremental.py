@@ -21,7 +21,7 @@ from lodeworks.sources.sinks import write_delimited, write_parquet
 CUTOFF = "2018-01-01"
 
 
-def _instant(df: DataFrame, ts_column: str) -> Column:
+def instant_of(df: DataFrame, ts_column: str) -> Column:
     """The column as something that orders by time: text is parsed, bad text is NULL."""
     column = F.col(f"`{ts_column}`")
     textual = isinstance(df.schema[ts_column].dataType, StringType)
@@ -36,7 +36,7 @@ def since_cutoff(df: DataFrame, ts_column: str, cutoff: str = CUTOFF) -> DataFra
     as it is, so that the filter reaches the scan.
     """
     ts_column = resolved(df, ts_column)
-    df = df.withColumn(ts_column, _instant(df, ts_column))
+    df = df.withColumn(ts_column, instant_of(df, ts_column))
     limit = F.lit(cutoff).cast(df.schema[ts_column].dataType)
     return df.filter(F.col(ts_column) >= limit)
 
@@ -60,7 +60,7 @@ def high_watermark(target: DataFrame, ts_column: str, floor: str | None = None)
         recent = high_watermark(target.filter(F.col(ts_column) >= limit), ts_column)
         if recent is not None:
             return recent
-    times = target.select(_instant(target, ts_column).alias("ts"))
+    times = target.select(instant_of(target, ts_column).alias("ts"))
     top = F.max("ts")
     kind = times.schema["ts"].dataType
     if isinstance(kind, TimestampType):
@@ -88,7 +88,7 @@ def newer_than(
     if watermark is None:
         return source
     ts_column = resolved(source, ts_column)
-    instant = _instant(source, ts_column)
+    instant = instant_of(source, ts_column)
     kind = source.select(instant.alias("ts")).schema["ts"].dataType
     limit = _literal(watermark, kind)
     if lookback is not None:
@@ -96,14 +96,14 @@ def newer_than(
     return source.filter(instant > limit)
 
 
-def _scan(source: DataFrame, path: str, delimited: bool) -> DataFrame:
+def scan_target(source: DataFrame, path: str, delimited: bool) -> DataFrame:
     read = scan_delimited if delimited else scan_parquet
     return read(source.sparkSession, path, source.schema)
 
 
 def _existing(source: DataFrame, path: str, delimited: bool) -> DataFrame | None:
     try:
-        return _scan(source, path, delimited)
+        return scan_target(source, path, delimited)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -126,7 +126,7 @@ def last_value(
     return None if top is None else str(top)
 
 
-def _not_in(rows: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
+def not_in(rows: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are not present yet; NULL keys are equal to each other."""
     same = [rows[name].eqNullSafe(present[name]) for name in keys]
     return rows.join(present, reduce(and_, same), "left_anti")
@@ -147,7 +147,7 @@ def _comparable(rows: DataFrame) -> DataFrame:
     return rows.select(F.struct("*").alias("row")).withColumn("text", F.to_json("row", exact))
 
 
-def _append_undated(rows: DataFrame, path: str | None, target_path: str) -> None:
+def append_undated(rows: DataFrame, path: str | None, target_path: str) -> None:
     """Append the copies of each row that the path lacks."""
     if path is None:
         path = undated_default(target_path)
@@ -192,8 +192,8 @@ def incremental_append(
     source is not written again, and rows of earlier deliveries stay.
     """
     ts_column = resolved(source, ts_column)
-    instant = _instant(source, ts_column)
-    _append_undated(source.filter(instant.isNull()), undated_path, target_path)
+    instant = instant_of(source, ts_column)
+    append_undated(source.filter(instant.isNull()), undated_path, target_path)
     target = _existing(source, target_path, delimited)
     watermark = None if target is None else high_watermark(target, ts_column, floor)
     new = newer_than(source.filter(instant.isNotNull()), ts_column, watermark, lookback)
@@ -201,7 +201,7 @@ def incremental_append(
         own = [resolved(source, name) for name in keys or source.columns]
         names = list(dict.fromkeys([*own, ts_column]))
         seen = newer_than(target, ts_column, watermark, lookback).select(*names).distinct()
-        new = _not_in(new, seen, names)
+        new = not_in(new, seen, names)
     write = write_delimited if delimited else write_parquet
     write(new, target_path, mode="append")
-    return _scan(source, target_path, delimited)
+    return scan_target(source, target_path, delimited)
