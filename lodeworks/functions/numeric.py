@@ -13,8 +13,9 @@ def whole_number(text: Column, kind: DataType) -> Column:
 
     Only plain decimal notation has a fraction to cut: ``12.7`` is 12, ``1e3`` is NULL.
     """
-    cut = text.try_cast("decimal(38,10)").try_cast(kind)
-    return F.coalesce(text.try_cast(kind), F.when(text.rlike(_WITH_FRACTION), cut))
+    # One cast for both notations, and the pattern only where there is a point at all.
+    fraction = F.contains(text, F.lit(".")) & text.rlike(_WITH_FRACTION)
+    return F.when(fraction, F.substring_index(text, ".", 1)).otherwise(text).try_cast(kind)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

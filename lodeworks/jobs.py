@@ -13,7 +13,7 @@ import argparse
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lodeworks.contract import Contract
 from lodeworks.contracts import CONTRACTS
@@ -47,6 +47,8 @@ from lodeworks.streaming.incremental import (
     last_value,
     since_cutoff,
 )
+from lodeworks.streaming.load_log import logged_append
+from lodeworks.streaming.merge import merge_silver
 
 
 def load_csv(
@@ -88,25 +90,38 @@ def run_silver(
     Each output is its own scan of bronze: the quarantine pass has no shuffle,
     which is cheaper than writing and re-reading all cleaned rows. Both carry
     the same run timestamp, so they can be matched afterwards.
+
+    Bronze is counted while the quarantine is written, in a pass without a shuffle, whose
+    tasks count once however often they were run; a third scan is made only if no
+    quarantine is asked for. The other counts come from the footers of what was written.
     """
     started = datetime.now(timezone.utc)
-    tables = build_silver(
-        bronze,
-        contract,
-        as_of=as_of or started.date(),
-        run_ts=started,
-        on_invalid=on_invalid,
-        on_unknown=on_unknown,
-    )
+    options = {
+        "as_of": as_of or started.date(),
+        "run_ts": started,
+        "on_invalid": on_invalid,
+        "on_unknown": on_unknown,
+    }
     replace_parquet(
-        tables.silver, silver_path, partition_by=partition_by, num_partitions=num_partitions
+        build_silver(bronze, contract, **options).silver,
+        silver_path,
+        partition_by=partition_by,
+        num_partitions=num_partitions,
     )
     spark = bronze.sparkSession
-    layers = {"bronze": bronze, "silver": scan_parquet(spark, silver_path)}
-    if quarantine_path:
-        replace_parquet(tables.quarantine, quarantine_path)
-        layers["quarantine"] = scan_parquet(spark, quarantine_path)
-    return row_counts(layers)
+    silver = {"silver": scan_parquet(spark, silver_path)}
+    if not quarantine_path:
+        return row_counts({"bronze": bronze, **silver})
+    seen = Observation()
+    watched = bronze.observe(seen, F.count(F.lit(1)).alias("rows"))
+    replace_parquet(build_silver(watched, contract, **options).quarantine, quarantine_path)
+    # Nothing is observed where the optimizer sees that there are no rows.
+    observed = spark.createDataFrame(
+        [("bronze", seen.get.get("rows", 0))], "layer string, row_count long"
+    )
+    return observed.unionAll(
+        row_counts({**silver, "quarantine": scan_parquet(spark, quarantine_path)})
+    )
 
 
 def run_gold(
@@ -176,6 +191,8 @@ def _parser() -> argparse.ArgumentParser:
     pull.add_argument("--lookback-days", type=float)
     pull.add_argument("--floor", help="a value the watermark is known to have reached")
     pull.add_argument("--delimited", action="store_true")
+    pull.add_argument("--log", action="store_true",
+                      help="record loads next to the target and read its watermark from there")
 
     silver = jobs.add_parser("silver", help="bronze into silver and quarantine")
     silver.add_argument("entity", choices=CONTRACTS)
@@ -183,6 +200,8 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--table", help="database.table")
     source.add_argument("--parquet")
     source.add_argument("--delimited")
+    silver.add_argument("--plain", action="store_true", help="delimited text without escapes")
+    silver.add_argument("--merge", metavar="RUN", help="the input is a delta: merge it as this run")
     silver.add_argument("--silver", required=True)
     silver.add_argument("--quarantine")
     silver.add_argument("--register", metavar="DATABASE.TABLE")
@@ -232,6 +251,11 @@ def _import(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = scan_jdbc(spark, args.url, args.table, properties, split)
     if args.newer_by:
         lookback = timedelta(days=args.lookback_days) if args.lookback_days else None
+        if args.log:
+            logged_append(
+                rows, args.target, args.newer_by, lookback, args.delimited, args.key, args.undated
+            )
+            return
         incremental_append(
             rows,
             args.target,
@@ -255,7 +279,31 @@ def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.parquet:
         bronze = scan_parquet(spark, args.parquet)
     else:
-        bronze = scan_delimited(spark, args.delimited, contract.bronze)
+        escape = None if args.plain else "\\"
+        bronze = scan_delimited(spark, args.delimited, contract.bronze, escape=escape)
+    if args.merge:
+        if not args.partition_by:
+            raise SystemExit("--merge needs --partition-by")
+        merge_silver(
+            with_lineage(bronze),
+            contract,
+            args.silver,
+            args.quarantine,
+            partition_by=args.partition_by,
+            run=args.merge,
+            as_of=args.as_of,
+            run_ts=datetime.now(timezone.utc),
+            on_invalid=args.on_invalid,
+            on_unknown=args.on_unknown,
+        )
+    else:
+        _rebuild(bronze, contract, args)
+    if args.register:
+        ensure_database(spark, args.register.split(".")[0])
+        register_external(spark, args.register, args.silver)
+
+
+def _rebuild(bronze: DataFrame, contract: Contract, args: argparse.Namespace) -> None:
     run_silver(
         with_lineage(bronze),
         contract,
@@ -267,9 +315,6 @@ def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
         on_invalid=args.on_invalid,
         on_unknown=args.on_unknown,
     ).show()
-    if args.register:
-        ensure_database(spark, args.register.split(".")[0])
-        register_external(spark, args.register, args.silver)
 
 
 def _gold(spark: SparkSession, args: argparse.Namespace) -> None:

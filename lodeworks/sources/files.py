@@ -34,17 +34,25 @@ def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def _fields(sep: str, schema: StructType) -> list[Column]:
-    """Fields of a line, split at separators that no backslash escapes."""
-    # Characters that stand for an escaped backslash and an escaped separator meanwhile.
-    backslash, separator = "\ue000", "\ue001"
-    line = F.replace(F.col("value"), F.lit("\\\\"), F.lit(backslash))
-    line = F.replace(line, F.lit("\\" + sep), F.lit(separator))
+def _fields(sep: str, schema: StructType, escape: str | None) -> list[Column]:
+    """Fields of a line, split at separators that no ``escape`` stands before."""
+    line, codes = F.col("value"), []
+    if escape is not None:
+        # An escaped escape and an escaped separator are written as a mark and a digit
+        # meanwhile, and so is the mark itself: whatever the text holds comes back.
+        mark = "\ue000"
+        if sep in (mark, escape) or sep.isdigit():
+            raise ValueError(f"{sep!r} cannot be a separator of escaped text")
+        held = ((mark, mark + "0"), (escape * 2, mark + "1"), (escape + sep, mark + "2"))
+        for plain, code in held:
+            line = F.replace(line, F.lit(plain), F.lit(code))
+        codes = [(escape + "n", "\n"), (escape + "r", "\r"), (mark + "2", sep), (mark + "1", escape)]
+        codes.append((mark + "0", mark))
     parts = F.split(line, re.escape(sep), -1)
 
     def field(i: int) -> Column:
         text = F.get(parts, F.lit(i))
-        for code, plain in (("\\n", "\n"), ("\\r", "\r"), (separator, sep), (backslash, "\\")):
+        for code, plain in codes:
             text = F.replace(text, F.lit(code), F.lit(plain))
         return text
 
@@ -57,15 +65,18 @@ def scan_delimited(
     schema: StructType,
     sep: str = ",",
     null_value: str | None = None,
+    escape: str | None = "\\",
 ) -> DataFrame:
     """Headerless delimited text without quoting, columns by position.
 
     Fields that do not parse as their type become NULL, and so do empty ones and those
     equal to ``null_value``; fields beyond the schema are left out. Separators, line
-    breaks and backslashes within a field are written with a backslash, so no record
-    spans lines and files stay splittable.
+    breaks and escapes within a field are written with an ``escape``, as ``write_delimited``
+    does, so no record spans lines and files stay splittable. Files of other writers have
+    none: with ``escape=None`` every separator separates and all other characters are
+    what they are, like in a catalog entry of ``register_delimited``.
     """
-    texts = spark.read.text(path).select(*_fields(sep, schema))
+    texts = spark.read.text(path).select(*_fields(sep, schema, escape))
     empty = ("",) if null_value is None else ("", null_value)
     texts = texts.select(
         *(F.when(~F.col(f"`{n}`").isin(*empty), F.col(f"`{n}`")).alias(n) for n in texts.columns)

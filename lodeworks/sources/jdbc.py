@@ -5,10 +5,11 @@ Connection settings always come from the caller; none are kept here.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Fixed value: rows per insert batch of the original loader.
 BATCH_SIZE = 1000
@@ -70,6 +71,63 @@ def derived_split(
     return Split(column, str(row[0]), str(row[1]), partitions)
 
 
+def depth_bounds(rows: DataFrame, column: str, partitions: int, accuracy: int = 10_000) -> list[str]:
+    """Values that cut a column into ``partitions`` ranges of about as many rows each.
+
+    From a quantile sketch, so that a skewed column is not cut by its span. ``rows`` may be
+    what a run will read, or what an earlier run stored of the same column. A value so
+    frequent that several cuts fall on it is given twice, and ``range_predicates`` makes a
+    range of it alone; an empty or all-NULL column gives none.
+    """
+    if partitions < 2:
+        return []
+    shares = [k / partitions for k in range(1, partitions)]
+    cuts = F.approx_percentile(f"`{column}`", shares, accuracy)
+    found = rows.agg(F.transform(cuts, lambda x: x.cast("string")).alias("cuts")).first()["cuts"]
+    often = Counter(found or [])
+    return [cut for cut, times in often.items() for _ in range(min(times, 2))]
+
+
+def range_predicates(
+    column: str, bounds: Sequence[str], newer_by: str | None = None, after: str | None = None
+) -> list[str]:
+    """SQL conditions, one a task, that together hold for every row to be read exactly once.
+
+    Bounds ascend; a row on a bound belongs to the range that begins there, or to one of
+    its own if the bound is given twice. Rows without a value are a range of their own. With ``after``, the watermark less the lookback, rows
+    up to it are left out of every range; rows without a time are not.
+    """
+    told = [f"'{b}'" for b in bounds]
+    if told:
+        ranges = [f"{column} < {told[0]}"]
+        for k, low in enumerate(told):
+            alone = k > 0 and told[k - 1] == low
+            high = told[k + 1] if k + 1 < len(told) else None
+            if high == low:
+                ranges.append(f"{column} = {low}")
+                continue
+            begin = f"{column} {'>' if alone else '>='} {low}"
+            ranges.append(begin if high is None else f"{begin} AND {column} < {high}")
+        ranges.append(f"{column} IS NULL")
+    else:
+        ranges = ["1 = 1"]
+    if newer_by and after is not None:
+        newer = f"({newer_by} > '{after}' OR {newer_by} IS NULL)"
+        ranges = [f"({r}) AND {newer}" for r in ranges]
+    return ranges
+
+
+def scan_jdbc_ranges(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    predicates: Sequence[str],
+) -> DataFrame:
+    """A table read with one task per condition of ``range_predicates``."""
+    return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))
+
+
 def scan_jdbc(
     spark: SparkSession,
     url: str,

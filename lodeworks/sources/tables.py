@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,29 +24,81 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A catalog entry over parquet files that stay where they are.
 
-    On every call the entry is brought up to date with the files: new partitions are
-    added, and an entry whose columns, partitioning or place differ is replaced. Only
-    entries of external data are replaced; a managed table of that name is an error.
+    On every call the entry is brought up to date with the files, without a moment in
+    which it is missing: another place and further columns are set on it, new partitions
+    are added and those that are gone are dropped. Only an entry whose columns were
+    removed, retyped or partitioned otherwise is dropped and made anew. Only entries of
+    external data are changed; a managed table of that name is an error.
     """
     files = spark.read.parquet(path)
     kind = table_type(spark, name)
     if kind == "MANAGED":
         raise ValueError(f"{name} is a managed table; dropping it would delete its data")
-    if kind is not None and not (
-        kind == "EXTERNAL"
-        and sorted(_shape(spark.read.table(name).schema)) == sorted(_shape(files.schema))
-        and _location(spark, name) == path.removeprefix("file:").rstrip("/")
-    ):
+    if kind is not None and not (kind == "EXTERNAL" and _extended(spark, name, files, path)):
         spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {name}")
         kind = None
     if kind is None:
         spark.catalog.createTable(name, path=path, source="parquet")
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+    if _partition_columns(spark, name):
         spark.catalog.recoverPartitions(name)
+        _drop_gone_partitions(spark, name, path)
     spark.catalog.refreshTable(name)
     return spark.read.table(name)
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
+def _extended(spark: SparkSession, name: str, files: DataFrame, path: str) -> bool:
+    """Set place and further columns of an entry; false if it has others than the files."""
+    has, wanted = dict(_shape(spark.read.table(name).schema)), dict(_shape(files.schema))
+    keys = _partition_columns(spark, name)
+    if any(wanted.get(column) != kind for column, kind in has.items()):
+        return False
+    if set(keys) != set(_directory_keys(files)):
+        return False
+    more = [f"`{column}` {kind}" for column, kind in wanted.items() if column not in has]
+    if more:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(more)})")
+    if _location(spark, name) != path.removeprefix("file:").rstrip("/"):
+        for spec in _partition_specs(spark, name) if keys else ():
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    return True
+
+
+def _directory_keys(files: DataFrame) -> list[str]:
+    """The columns that stand in the names of the files' directories."""
+    relation = files._jdf.queryExecution().analyzed().collectLeaves().head().relation()
+    return list(relation.partitionSchema().fieldNames())
+
+
+def _partition_specs(spark: SparkSession, name: str) -> list[str]:
+    """All partitions of an entry, as the catalog is told them."""
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return [_spec(dict(cell.split("=", 1) for cell in r["partition"].split("/"))) for r in rows]
+
+
+def _spec(values: dict[str, str]) -> str:
+    def told(key: str, value: str) -> str:
+        if value == "__HIVE_DEFAULT_PARTITION__":
+            return f"`{key}` = NULL"
+        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"`{key}` = '{text}'"
+
+    return ", ".join(told(key, value) for key, value in values.items())
+
+
+def _drop_gone_partitions(spark: SparkSession, name: str, path: str) -> None:
+    """Drop the partitions whose directories no longer hold files."""
+    held = {unquote(file.rpartition("/")[0]) for file in storage.files_below(spark, path)}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        if unquote(row["partition"]) not in held:
+            cells = dict(cell.split("=", 1) for cell in row["partition"].split("/"))
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(cells)})")
+
+
 def table_type(spark: SparkSession, name: str) -> str | None:
     """MANAGED, EXTERNAL or VIEW; none if there is no such table."""
     if not spark.catalog.tableExists(name):
