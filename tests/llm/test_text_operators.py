@@ -4,6 +4,7 @@ and odd tables."""
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +101,54 @@ def test_language_id_on_odd_tables(odd_docs, odd_rows, no_docs):
     assert {r["lang_pred"] for r in language_id.predict(odd_docs, None).collect()} == {"und"}
 
 
+def brute_kneser_ney(counts, alphabet, floor_symbols):
+    """The probability of a 4-gram's last symbol, by dictionaries and recursion."""
+    levels = {4: Counter({tuple(g): n for g, n in counts.items()})}
+    for size in (3, 2, 1):
+        # How many different symbols stand before each shorter gram.
+        levels[size] = Counter(g[1:] for g in levels[size + 1])
+    discounts = {}
+    for size, seen in levels.items():
+        once, twice = (sum(n == k for n in seen.values()) for k in (1, 2))
+        discounts[size] = once / (once + 2 * twice) if once else 0.5
+
+    def chance(gram):
+        if not gram:
+            return 1 / (floor_symbols + 1)
+        seen, history = levels[len(gram)], gram[:-1]
+        total = sum(n for g, n in seen.items() if g[:-1] == history)
+        below = chance(gram[1:])
+        if not total:
+            return below
+        kinds = sum(g[:-1] == history for g in seen)
+        cut = discounts[len(gram)]
+        return max(seen[gram] - cut, 0) / total + cut * kinds / total * below
+
+    return chance
+
+
+def test_models_match_brute_force():
+    rng = random.Random(6)
+    texts = {"aa": prose(rng, "abcab", 60), "bb": prose(rng, "abde", 40), "cc": "a"}
+    unpack = lambda g: tuple(int(g) >> 16 * k & 0xFFFF for k in (3, 2, 1, 0))
+    found, plain = {}, {}
+    for name, text in texts.items():
+        stream, begins = language_id.symbols(pa.array([text]))
+        grams = language_id.grams(stream, begins, 0, len(stream))
+        found[name] = np.unique(grams, return_counts=True)
+        plain[name] = Counter(map(unpack, grams.tolist()))
+    model = language_id.estimate(found)
+    symbols = {s for c in plain.values() for g in c for s in g[3:]}
+    assert len(model.alphabet) == len(symbols)
+    asked = [g for c in plain.values() for g in list(c)[:60]]
+    asked += [tuple(rng.choice([0, 97, 98, 99, 100, 101, 120]) for _ in range(4)) for _ in range(150)]
+    packed = np.array([sum(s << 16 * (3 - k) for k, s in enumerate(g)) for g in asked], np.uint64)
+    got = np.exp2(model.log_probabilities(packed).astype(float))
+    for k, name in enumerate(model.languages):
+        chance = brute_kneser_ney(plain[name], model.alphabet, len(symbols))
+        assert np.allclose(got[:, k], [chance(g) for g in asked], rtol=1e-4)
+
+
 def test_probabilities_of_a_history_sum_to_one():
     texts = ["abracadabra", "cab dab", "bad cad"]
     import pyarrow as pa
