@@ -227,7 +227,11 @@ def _joining_links(candidates: DataFrame, sets: DataFrame, percent: int) -> Data
     task. There all pairs are compared, and of those similar enough only the ones that join
     two components are returned: fewer than there are classes, whatever the pairs.
     """
-    sizes = candidates.groupBy("low").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    # Written, so that the join below is free to split the rows of a large group.
+    sizes = staged(
+        candidates.groupBy("low").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total")),
+        "group-sizes",
+    )
     tiles = F.greatest(
         F.ceil(F.col("n") / TILE_CLASSES), F.ceil(F.col("total") / TILE_SHINGLES)
     ).cast("int")
@@ -403,11 +407,13 @@ def _labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
         .join(first.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
-    split = (
+    placed = staged(placed, "placed")
+    split = staged(
         placed.groupBy("low")
         .agg(F.min("component").alias("from"), F.max("component").alias("to"))
         .where("from < to")
-        .select("low")
+        .select("low"),
+        "split-groups",
     )
     apart = staged(placed.join(split, "low").join(sketch.select("class", "s.*"), "class"), "apart")
     x, y = apart.alias("x"), apart.alias("y")
