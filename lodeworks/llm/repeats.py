@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.llm.common import blocks, mix, ragged, spans_of, staged, text_bytes
@@ -240,10 +240,11 @@ def repeated_windows(
 def _windows_left(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split occurrences of repeated anchors into removed runs of windows, and the earliest
     of each segment where an anchor has different ones (with the anchor's occurrences)."""
-    class_first = Window.partitionBy("anchor", "segment")
-    rows = found.where("not repeated").withColumn(
-        "first", F.min(F.struct("doc_id", "start")).over(class_first)
-    )
+    own = found.where("not repeated")
+    # Combined before the shuffle and joined, so that one segment of the whole corpus is
+    # no single task.
+    first = own.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    rows = own.join(staged(first, "first-segments"), ["anchor", "segment"]).select(*own.columns, "first")
     is_first = F.struct("doc_id", "start") == F.col("first")
     removed = found.where("repeated").unionByName(rows.where(~is_first).drop("first"))
     contested = rows.where(is_first & F.col("contested")).drop("first", "segment")
@@ -387,12 +388,22 @@ def remove_repeats(docs: DataFrame, length: int = 100, with_text: bool = False)
         F.coalesce(F.col("doc_id").cast("long"), F.lit(none)).alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("text_hash", F.xxhash64("text"))
-    by_anchor = Window.partitionBy("anchor")
+    every = staged(occurrences(rows, length), "occurrences")
+    counts = staged(
+        every.groupBy("anchor")
+        .agg(
+            F.count("*").alias("n"),
+            (F.min("segment") != F.max("segment")).alias("contested"),
+        )
+        .where("n > 1"),
+        "anchor-counts",
+    )
     found = (
-        occurrences(rows, length)
-        .withColumn("n", F.count("*").over(by_anchor))
-        .withColumn("contested", F.min("segment").over(by_anchor) != F.max("segment").over(by_anchor))
+        every.join(counts, "anchor", "left")
         .where("n > 1 OR repeated")
+        .withColumns(
+            {"n": F.coalesce("n", F.lit(1)), "contested": F.coalesce("contested", F.lit(False))}
+        )
     )
     removed, contested = _windows_left(staged(found, "anchors"))
     segments = staged(_cut(rows, contested, length), "segments")
