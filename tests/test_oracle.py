@@ -8,7 +8,15 @@ import __spark_entry__ as driver
 from oracle import connect, differences
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-SINGLE_ROW_AGGREGATES = ("check_table", "column_report", "gold_set_row_counts", "row_count_report")
+SINGLE_ROW_AGGREGATES = (
+    "check_from_footers",
+    "check_table",
+    "column_report",
+    "compare_columns",
+    "gold_set_row_counts",
+    "row_count_observed",
+    "row_count_report",
+)
 CORE = [module for module in driver._MODULES if module not in driver._CORPUS]
 QUERIES = {name: query for module in CORE for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in CORE for name, sql in module.ORACLE.items()}
