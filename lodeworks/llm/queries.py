@@ -34,9 +34,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two deliveries of whole sources through one ledger: of the second only texts that the
+    # first did not hold are scanned.
     ledger = f"{shared_folder(spark)}/secret-ledger-{uuid4().hex}"
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return secret_scan.digests(secret_scan.scan_history(documents, ledger))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    later = F.pmod(F.xxhash64("source"), F.lit(2)) == 1
+    first, second = (
+        secret_scan.digests(secret_scan.scan_history(documents.where(part).drop("source"), ledger))
+        for part in (~later, later)
+    )
+    return first.unionByName(second)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
