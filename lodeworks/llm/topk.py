@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 QUERY_BLOCK, SHARD_BLOCK, BAND_BLOCKS = 512, 4096, 16
 #: Blocks' worth of vectors that a task gathers at once over all its bands.
 HELD_BLOCKS = 4
-#: Products of doubles are exact up to here.
-EXACT = 2.0**53
+#: Products of doubles are exact up to here, and of longs below here.
+EXACT, WRAPS = 2.0**53, 2.0**63
 
 
 def quantized(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -93,12 +93,30 @@ def _packed(vectors: DataFrame, size: int, band: str, bands: int) -> DataFrame:
     )
 
 
+def _scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The exact inner products. One that no long holds is given as the nearest of
+    -(2^63 - 1) and 2^63 - 1."""
+    rows, columns = (np.abs(x).max(axis=1, initial=0) * np.sqrt(x.shape[1]) for x in (left, right))
+    bound = rows.max(initial=0) * columns.max(initial=0)
+    if bound < EXACT:
+        return left @ right.T
+    # Values that are too large for a long are only in rows that are done again below.
+    first, second = (np.where(np.abs(x) < WRAPS, x, 0).astype(np.int64) for x in (left, right))
+    scores = first @ second.T
+    if bound < WRAPS / 2:
+        return scores
+    last = 2**63 - 1
+    for row in np.flatnonzero(rows * columns.max(initial=0) >= WRAPS / 2):
+        query = [int(x) for x in left[row]]
+        for column in np.flatnonzero(rows[row] * columns >= WRAPS / 2):
+            exact = sum(a * int(b) for a, b in zip(query, right[column]))
+            scores[row, column] = max(-last, min(last, exact))
+    return scores
+
+
 def _tile(left, q_ids, right, c_ids, k: int, skip_same_id: bool):
     """Rows of each query's k best candidates in one tile: query row, candidate row, score."""
-    bound = np.abs(left).max(initial=0) * np.abs(right).max(initial=0) * left.shape[1]
-    if bound >= EXACT:
-        left, right = left.astype(np.int64), right.astype(np.int64)
-    scores = left @ right.T
+    scores = _scores(left, right)
     valid = np.ones(scores.shape, bool)
     if skip_same_id:
         order = np.argsort(c_ids, kind="stable")
@@ -129,15 +147,21 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, skip_same_id: bool
     only vectors of equal length meet. Ties go to the smaller id. With ``skip_same_id`` a
     query does not find rows of its own id. Repeated candidate rows count each. Query rows
     of one id are one query: equal ones count once, of different ones the best scores count.
-    Returns
+    Scores beyond a long are its ends (see ``_scores``); empty vectors score 0. Returns
     ``query_id, rank, vec_id, score``; a query with no candidate has no row, and empty
     sides give no rows.
     """
     # The grid: each side is cut into bands of a bounded number of vectors, and every band
-    # of queries meets every band of candidates in a cell of its own.
+    # of queries meets every band of candidates in a cell of its own. Small sides get more
+    # bands of candidates, so that every core has a cell.
     queries = queries.distinct()
-    q_bands = 1 + queries.count() // (QUERY_BLOCK * BAND_BLOCKS)
-    c_bands = 1 + candidates.count() // (SHARD_BLOCK * BAND_BLOCKS)
+    n_queries, n_candidates = queries.count(), candidates.count()
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    q_bands = 1 + n_queries // (QUERY_BLOCK * BAND_BLOCKS)
+    c_bands = max(
+        1 + n_candidates // (SHARD_BLOCK * BAND_BLOCKS),
+        min(-(-cores // q_bands), 1 + n_candidates // SHARD_BLOCK),
+    )
 
     def every(side: DataFrame, other: str, others: int) -> DataFrame:
         return side.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))

@@ -66,6 +66,25 @@ def test_large_products_are_exact(spark):
     assert [r["score"] for r in got] == [2 * (2**30 + 1) * (2**30 + 3), 2 * (2**30 + 1) * 2**30]
 
 
+def test_scores_beyond_a_long_are_its_ends(spark):
+    big = 2.0**40
+    rows = [(0, [big, 3.0]), (1, [big, 1.0]), (2, [-big, 1.0]), (3, [2.0, 1.0]), (4, [2.0**63, -(2.0**63)])]
+    rows += [(5, []), (6, [])]
+    vectors = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = topk.top_k(vectors, vectors, 5).collect()
+    last = 2**63 - 1
+    whole = {i: [int(c) for c in x] for i, x in rows}
+    want = []
+    for q, x in whole.items():
+        scores = [
+            (max(-last, min(last, sum(a * b for a, b in zip(x, y)))), v)
+            for v, y in whole.items()
+            if v != q and len(x) == len(y)
+        ]
+        want += [(q, k, v, s) for k, (s, v) in enumerate(sorted(scores, key=lambda t: (-t[0], t[1])), 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_search_of_nothing(spark):
     empty = spark.createDataFrame([], "id long, vector array<double>")
     one = spark.createDataFrame([(1, [1.0])], "id long, vector array<double>")
