@@ -1,5 +1,9 @@
 """Personal data replaced by surrogates.
 
+Names are found by a form of address, a short list of given names or words such as "my name
+is". The given names that such places show anywhere in the corpus are then known in all of
+it: two capitalised words of which the first is such a given name are a name as well.
+
 Entities are found in every text, brought to a canonical form, and each distinct one is
 given one surrogate of its kind for the whole corpus, so that mentions of one entity still
 agree and different entities still differ. Surrogates are drawn from a keyed hash and keep
@@ -68,6 +72,11 @@ CUES = (
     "from:", "to:", "attn:", "regards,", "sincerely,", "signed,", "signed by", "signed:", "dear",
 )
 _ALL_CUES = "|".join(sorted(map(re.escape, CUES), key=len, reverse=True))
+#: Those behind which hardly anything but a person stands: names found there are learned.
+SURE_CUES = {
+    "my name is", "name:", "author:", "attn:", "regards,", "sincerely,", "signed,", "signed by",
+    "signed:",
+}
 
 _CAPITAL = "[^\\W\\d_a-zß-öø-ÿа-яёά-ώ]"
 _NAME = rf"{_CAPITAL}[^\W\d_]+(?:-{_CAPITAL}[^\W\d_]+)?"
@@ -136,6 +145,8 @@ PERSON = re.compile(
     rf"|(?P<given>{_ALL_GIVEN})[ ](?P<surname>{_NAME})"
     rf"|(?i:{_ALL_CUES})[ \n](?P<cued>{_NAME}[ ]{_NAME})(?!\w))"
 )
+#: Two or three capitalised words that may be a name; the next may begin with the second.
+PAIR = re.compile(rf"(?<![\w-])({_NAME}) (?=({_NAME})(?: ({_NAME}))?(?![\w-]))")
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 #: An address is looked for from its ``@``: the part before it has this many characters at
 #: most, as the standard says, so that a long run of letters costs nothing.
@@ -148,6 +159,8 @@ MAYBE = (
     r"@|[0-9][0-9() .-]{5,}[0-9]|[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}"
     rf"|(?:{_ALL_TITLES}|{_ALL_GIVEN})\.? |(?i:{_ALL_CUES})[ \n]"
 )
+#: The same for texts that may have a ``PAIR``.
+MAYBE_PAIR = r"\p{Lu}\p{L}+ \p{Lu}\p{L}"
 
 _GENDER_OF = {n.lower(): g for g, names in (*TITLES.items(), *GIVEN.items()) for n in names}
 
@@ -164,6 +177,12 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     over names. The parts of a name are entities of their own, ``given_f``, ``given_m``,
     ``given_n`` and ``surname``; a name's parts are also found where they stand alone.
     """
+    return _read(text)[0]
+
+
+def _read(text: str) -> tuple[list[tuple[int, int, str, str]], set[tuple[str, str]]]:
+    """``find``'s entities, and the given names to learn, each behind its gender."""
+    learned: set[tuple[str, str]] = set()
     found: list[tuple[int, int, str, str]] = []
     taken: set[int] = set()
 
@@ -190,13 +209,16 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     for match in PERSON.finditer(text):
         if match["cued"]:
             gender, parts, at = "n", match["cued"].split(" "), match.start("cued")
+            sure = text[match.start() : at - 1].lower() in SURE_CUES
         elif match["title"]:
             gender = _GENDER_OF[match["title"].lower()]
             parts = match["named"].split(" ")
-            at = match.start("named")
+            at, sure = match.start("named"), len(parts) == 2
         else:
             gender, at = _GENDER_OF[match["given"].lower()], match.start("given")
-            parts = [match["given"], match["surname"]]
+            parts, sure = [match["given"], match["surname"]], False
+        if sure:
+            learned.add((_GENDER_OF.get(parts[0].lower(), gender), parts[0].lower()))
         for k, part in enumerate(parts):
             last = k == len(parts) - 1
             own = _GENDER_OF.get(part.lower(), gender)
@@ -208,7 +230,30 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         for match in WORD.finditer(text):
             if match[0] in names:
                 add(match.start(), match.end(), names[match[0]], match[0].lower())
-    return sorted(found)
+    return sorted(found), learned
+
+
+def pairs(text: str) -> set[str]:
+    """The distinct pairs of words that may be a name, each as written and in small letters.
+    Of three words the first makes a pair with either of the others."""
+    return {
+        f"{m[1]} {last} {m[1].lower()} {last.lower()}"
+        for m in PAIR.finditer(text)
+        for last in m.group(2, 3)
+        if last and m[1][0].isupper() and last[0].isupper()
+    }
+
+
+def _bare(text: str, taken: list[tuple[int, int]], names: set[str]) -> list[tuple[int, int, str]]:
+    """``start, end, name`` of the names' mentions outside the sorted spans ``taken``."""
+    spans, at = [], 0
+    for match in WORD.finditer(text):
+        if match[0] in names:
+            while at < len(taken) and taken[at][1] <= match.start():
+                at += 1
+            if at == len(taken) or match.end() <= taken[at][0]:
+                spans.append((match.start(), match.end(), match[0]))
+    return spans
 
 
 class _Draw:
@@ -296,34 +341,47 @@ def render(kind: str, mention: str, value: str) -> str:
     return value.upper() if mention.isupper() and len(mention) > 1 else value.title()
 
 
-def _maybe(texts: pa.Array) -> np.ndarray:
-    found = pc.fill_null(pc.match_substring_regex(texts, MAYBE), False)
+def _matches(texts: pa.Array, pattern: str) -> np.ndarray:
+    found = pc.fill_null(pc.match_substring_regex(texts, pattern), False)
     return found.to_numpy(zero_copy_only=False)
 
 
+def _maybe(texts: pa.Array) -> np.ndarray:
+    return _matches(texts, MAYBE)
+
+
 def _flagged(rows: DataFrame) -> DataFrame:
-    """The rows and whether their text passes ``MAYBE``."""
+    """The rows and whether their text passes ``MAYBE`` or ``MAYBE_PAIR``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.append_column("maybe", pa.array(_maybe(batch.column("text"))))
+            texts = batch.column("text")
+            yield batch.append_column("maybe", pa.array(_maybe(texts) | _matches(texts, MAYBE_PAIR)))
 
     return rows.mapInArrow(run, "doc_id long, text string, text_hash long, maybe boolean")
 
 
 MENTIONS = "doc_id long, text_hash long, start int, end int, kind string, canonical string"
+#: Kinds of rows that are no mentions: a pair that may be a name, and given names to learn.
+MAYBE_NAME, LEARNED = "pair", "learned_"
 
 
 def mentions(rows: DataFrame) -> DataFrame:
-    """``MENTIONS`` of rows with ``doc_id, text_hash, text``."""
+    """``MENTIONS`` of rows with ``doc_id, text_hash, text``; rows of the kinds ``MAYBE_NAME``
+    and ``LEARNED`` (with a gender) besides, at no place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             out: list[list] = [[] for _ in range(5)]
-            rows = np.flatnonzero(_maybe(batch.column("text")))
+            flags = np.stack([_matches(batch.column("text"), p) for p in (MAYBE, MAYBE_PAIR)])
+            rows = np.flatnonzero(flags.any(axis=0))
             for row, text in zip(rows.tolist(), batch.column("text").take(rows).to_pylist()):
-                for found in find(text):
-                    for cell, value in zip(out, (row, *found)):
+                found, learned = _read(text) if flags[0, row] else ((), ())
+                told = [*found, *((None, None, LEARNED + g, name) for g, name in sorted(learned))]
+                if flags[1, row]:
+                    told += [(None, None, MAYBE_NAME, pair) for pair in sorted(pairs(text))]
+                for one in told:
+                    for cell, value in zip(out, (row, *one)):
                         cell.append(value)
             at = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -416,6 +474,49 @@ def _with_domains(drawn: DataFrame, domains: DataFrame) -> DataFrame:
     )
 
 
+def names_of(found: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, word, kind, canonical``: the words that are names in a document
+    because the corpus shows elsewhere that a pair's first word is a given name.
+
+    A name that was seen with one gender has that, otherwise ``n``. A word that is given
+    name in one pair and surname in another is the given name. Given names meet the distinct
+    pairs, so that one frequent given name is no large group.
+    """
+    genders = F.array_remove(F.collect_set(F.substring("kind", len(LEARNED) + 1, 1)), "n")
+    known = (
+        found.where(F.startswith("kind", F.lit(LEARNED)))
+        .groupBy(F.col("canonical").alias("given"))
+        .agg(F.when(F.size(genders) == 1, F.get(genders, F.lit(0))).otherwise("n").alias("gender"))
+    )
+    words = F.split("canonical", " ")
+    pair = found.where(F.col("kind") == MAYBE_NAME).select("doc_id", "text_hash", words.alias("w"))
+    # Names among the distinct pairs, then back to the documents.
+    distinct = pair.select("w").distinct().withColumn("given", F.col("w")[2]).join(known, "given")
+    told = pair.join(distinct.select("w", "gender"), "w").select(
+        "doc_id",
+        "text_hash",
+        F.explode(
+            F.array(
+                F.struct(
+                    F.col("w")[0].alias("word"),
+                    F.concat(F.lit("given_"), "gender").alias("kind"),
+                    F.col("w")[2].alias("canonical"),
+                ),
+                F.struct(
+                    F.col("w")[1].alias("word"),
+                    F.lit("surname").alias("kind"),
+                    F.col("w")[3].alias("canonical"),
+                ),
+            )
+        ).alias("n"),
+    )
+    return (
+        told.select("doc_id", "text_hash", "n.*")
+        .groupBy("doc_id", "text_hash", "word", "canonical")
+        .agg(F.min("kind").alias("kind"))
+    )
+
+
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     """``doc_id, text, n_entities, kinds`` for every row of ``doc_id, text``.
 
@@ -426,32 +527,49 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     """
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    found = staged(mentions(rows).distinct(), "mentions")
+    every = staged(mentions(rows).distinct(), "mentions")
+    placed = every.where("start IS NOT NULL").withColumn("word", F.lit(None).cast("string"))
+    # Names known from elsewhere in the corpus have no places yet: a text has them wherever
+    # their word stands.
+    found = placed.unionByName(staged(names_of(every), "names"), allowMissingColumns=True)
     mapping = surrogates(found.select("kind", "canonical").distinct(), secret)
     changes = (
         found.join(mapping, ["kind", "canonical"])
         .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "surrogate"))).alias("changes"))
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct("start", "end", "word", "kind", "surrogate"))
+            ).alias("changes")
+        )
     )
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
-            texts = []
+            texts, counts, kinds = [], [], []
             columns = (batch.column(c).to_pylist() for c in ("text", "changes"))
             for text, changes in zip(*columns):
+                spans = [
+                    (x["start"], x["end"], x["kind"], x["surrogate"])
+                    for x in changes or ()
+                    if x["word"] is None
+                ]
+                names = {x["word"]: (x["kind"], x["surrogate"]) for x in changes or () if x["word"]}
+                if names:
+                    bare = _bare(text, [x[:2] for x in spans], set(names))
+                    spans = sorted([*spans, *((a, b, *names[word]) for a, b, word in bare)])
                 parts, at = [], 0
-                for change in changes or ():
-                    mention = text[change["start"] : change["end"]]
-                    fresh = render(change["kind"], mention, change["surrogate"])
-                    parts += [text[at : change["start"]], fresh]
-                    at = change["end"]
+                for start, end, kind, value in spans:
+                    parts += [text[at:start], render(kind, text[start:end], value)]
+                    at = end
                 texts.append("".join([*parts, text[at:]]) if parts else text)
+                counts.append(len(spans))
+                kinds.append(sorted({x[2] for x in spans}))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(texts, pa.string()),
-                    batch.column("n_entities"),
-                    batch.column("kinds"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(kinds, pa.list_(pa.string())),
                 ],
                 ["doc_id", "text", "n_entities", "kinds"],
             )
@@ -463,16 +581,7 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
         right,
         (F.col("r.text_hash") == F.col("c.text_hash")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")),
         "left",
-    ).select(
-        "r.doc_id",
-        "text",
-        "changes",
-        F.coalesce(F.size("changes"), F.lit(0)).cast("long").alias("n_entities"),
-        F.coalesce(
-            F.array_sort(F.array_distinct(F.transform("changes", lambda x: x["kind"]))),
-            F.array().cast("array<string>"),
-        ).alias("kinds"),
-    )
+    ).select("r.doc_id", "text", "changes")
     changed = met.mapInArrow(rewrite, "doc_id long, text string, n_entities long, kinds array<string>")
     rest = flagged.where("NOT maybe").select(
         "doc_id",

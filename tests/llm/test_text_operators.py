@@ -525,6 +525,70 @@ def test_names_by_cue_and_bare_mentions():
     assert [pii.find(x)[0][2] for x in ("call 555 123 4567 now", "at 020 7946 0958")] == ["phone", "phone"]
 
 
+#: Given names that the operator does not list, and surnames.
+OTHER_GIVEN = (
+    "Sarah Olivia Amara Priya Yuki Fatima Astrid Bronwyn Chiara Noor Wei Kofi Liam Mateo Rajesh "
+    "Dmitri Omar Haruto Sven Tomasz Ewan Luca Nikhil Bogdan Cedric Anders Farid Gustavo Ismail Ravi"
+).split()
+OTHER_LAST = (
+    "Connor Okafor Nakamura Lindqvist Haddad Kowalski Ferreira Novak Byrne Castellano Dubois "
+    "Eriksen Farouk Gallagher Horvath Ibrahim Jansen Kaur Larsson Mbeki"
+).split()
+
+
+def planted_names(n, rare, seed):
+    """Texts with one name each, the name, and what stands around it. Half are in running
+    prose, where nothing tells a name; ``rare`` ones have a given name of their own."""
+    rng = random.Random(seed)
+    frames = ("Mr {} signed it.", "Ms. {} came late.", "my name is {} and", "Regards,\n{}\nEncl.",
+              "yesterday {} walked home.", "we saw {} near the Old Bridge.", "{} said so, and left.",
+              "they asked {}, who agreed.")
+    for i in range(n):
+        frame = rng.choice(frames)
+        given = f"Zq{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}" if i < rare else rng.choice(OTHER_GIVEN)
+        name = f"{given} {rng.choice(OTHER_LAST)}"
+        yield i, f"{prose(rng, 'abcdefgh', 12)}. {frame.format(name)} {prose(rng, 'abcdefgh', 9)}", name
+
+
+def test_recall_of_names(spark):
+    planted = list(planted_names(1000, 40, 3))
+    clean = [(5000 + i, f"it was in New York, General Public Licence {i}. The Old Bridge is Far Away.", None)
+             for i in range(200)]
+    docs = build(spark, [(i, t, None) for i, t, _ in planted] + clean).repartition(3)
+    got = {r["doc_id"]: r for r in pii.replace_personal_data(docs, "key").collect()}
+    hidden = [name for i, _, name in planted if not any(w in got[i]["text"].split() for w in name.split())]
+    alone = [name for _, t, name in planted if len([x for x in pii.find(t) if x[2].startswith(("g", "s"))]) == 2]
+    print(f"names replaced {len(hidden)}, by their own text alone {len(alone)}, of {len(planted)}")
+    assert len(hidden) / len(planted) >= 0.97 and len(alone) / len(planted) < 0.6
+    assert all(got[i]["text"] == t and got[i]["n_entities"] == 0 for i, t, _ in clean)
+    assert all("Old Bridge" in got[i]["text"] for i, t, _ in planted if "Old Bridge" in t)
+
+
+def test_names_known_from_other_documents(spark):
+    rows = [
+        (1, "Ms Sarah Lee came."),
+        (2, "Yesterday Sarah Connor left. Connor was late, SARAH too, and Sarah Connors not."),
+        (3, "Mr Robin Ray"), (4, "Ms Robin Low"), (5, "so Robin Hill"), (6, "in New York"),
+        (7, "Sarah Jane Connor"), (None, "Then Sarah Connor"), (8, "Sarah Connor a@b.org Sarah"),
+        (8, "Sarah Connor a@b.org Sarah"), (9, None), (10, ""),
+    ]
+    docs = build(spark, [(i, t, None) for i, t in rows])
+    got = sorted(pii.replace_personal_data(docs, "k").collect(), key=lambda r: (r["doc_id"] or 0, r["text"] or ""))
+    by_id = {r["doc_id"]: r for r in got}
+    assert len(got) == len(rows)
+    given, last = by_id[None]["text"].split()[1:]
+    assert by_id[1]["text"].split()[1] == given
+    assert by_id[2]["text"].startswith(f"Yesterday {given} {last} left. {last} was late, SARAH too, and {given} ")
+    assert by_id[2]["n_entities"] == 5 and by_id[2]["kinds"] == ["given_f", "surname"]
+    assert by_id[5]["kinds"] == ["given_n", "surname"] and by_id[6]["n_entities"] == 0
+    assert by_id[7]["text"].startswith(f"{given} ") and by_id[7]["text"].endswith(f" {last}")
+    assert "Jane" not in by_id[7]["text"]
+    eight = [r for r in got if r["doc_id"] == 8]
+    assert len(eight) == 2 and eight[0] == eight[1] and eight[0]["n_entities"] == 4
+    assert eight[0]["text"].split()[0] == given == eight[0]["text"].split()[3]
+    assert by_id[9]["text"] is None and by_id[10]["text"] == ""
+
+
 def test_checksums_of_surrogates():
     for k in range(200):
         assert pii._luhn(pii.surrogate(b"k", "card", "4111111111111111", k))
