@@ -26,6 +26,8 @@ CHUNK = 256
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 ESCAPE = 15
 BLOCK_IDS = 1 << 18
+#: Characters by which rows of one id are dealt to ranges. Whole texts order them.
+TIE = 64
 FILE_SCHEMA = (
     "shard int, block int, doc_ids array<long>, doc_tokens array<long>, "
     "chunk_words binary, words binary"
@@ -147,7 +149,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     Documents are range partitioned by id; a file holds one range and is written by one
     task, so a task that is run again replaces its own file. Repeated ids keep all their
-    rows, in text order.
+    rows, in text order, null ids come first. Rows of one id, also where all are null, are
+    dealt to ranges by how their texts begin (``TIE``); only texts that begin alike share one.
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +185,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     ordered = (
         docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange("doc_id")
+        .repartitionByRange("doc_id", F.substring("text", 1, TIE))
         .sortWithinPartitions("doc_id", "text")
         .withColumn("shard", F.spark_partition_id())
     )

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from odd_tables import build
 from tokenizers import Tokenizer
 
 from lodeworks.llm import packing, token_files, token_ids
@@ -83,6 +84,25 @@ def test_files_hold_all_documents_in_order(spark, tmp_path, odd_docs, odd_rows):
         at += len(ids)
 
 
+def test_rows_without_ids_are_dealt_out(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    rows = [(None, f"{'abcdefgh'[i % 8]}{i} words", None) for i in range(400)] + [(5, "five", None)]
+    docs = build(spark, rows).repartition(4)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        token_files.write_token_files(docs, path, public_tokenizers.path(FILES[0]))
+    finally:
+        spark.conf.set(setting, before)
+    assert spark.read.parquet(path).select("shard").distinct().count() > 3
+    got = sorted(token_files.read_token_files(spark, path, with_ids=True).collect(), key=lambda r: r["start"])
+    encode = plain(FILES[0])
+    wanted = [np.array([*encode(t), 1], "<u4").tobytes() for t in sorted(t for i, t, _ in rows if i is None)]
+    assert [bytes(r["ids"]) for r in got[:400]] == wanted and got[400]["doc_id"] == 5
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got])[:-1].tolist()]
+
+
 def test_empty_table_gives_empty_files(spark, tmp_path, no_docs):
     path = str(tmp_path / "tokens")
     token_files.write_token_files(no_docs, path, public_tokenizers.path(FILES[0]))
