@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 import numpy as np
@@ -10,6 +12,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from lodeworks.sources import storage
+
+#: Paths handed out within the innermost ``released``.
+_paths: ContextVar[list[str] | None] = ContextVar("paths", default=None)
 #: Bytes of text that a task holds as one numpy block.
 BLOCK_BYTES = 8 << 20
 
@@ -29,12 +35,36 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging").rstrip("/")
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A path below the shared folder that no other run uses."""
+    path = f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    if (within := _paths.get()) is not None:
+        within.append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what ``staged`` and ``fresh_path`` made inside, also after a failure.
+
+    What is to outlast it must be computed and written elsewhere before.
+    """
+    made: list[str] = []
+    outer = _paths.set(made)
+    try:
+        yield
+    finally:
+        _paths.reset(outer)
+        for path in made:
+            storage.remove(spark, path)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write the rows below the shared folder and scan them from there.
 
     Later losses of executors then do not repeat the work behind the rows.
     """
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid4().hex}"
+    path = fresh_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -7,7 +7,8 @@ import pytest
 import corpus_pipeline
 from odd_tables import build
 from lodeworks.llm import decontamination
-from lodeworks.llm.common import staged
+from lodeworks.llm.common import fresh_path, released, shared_folder, staged
+from lodeworks.sources import storage
 from test_text_operators import brute_groups, brute_hits, brute_secrets
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -87,7 +88,11 @@ def test_run_matches_brute_force(spark):
     docs = [(i, t) for i, t in docs if smallest[i] == i]
     hit = {h[0] for h in brute_hits(docs, bench, 10) if h[-1]}
     docs = [(i, t) for i, t in docs if i not in hit and not brute_secrets(t)]
+    there = set(storage.children(spark, shared_folder(spark)))
     got = corpus_pipeline.run(spark, SF_DIR)
+    # Of all that the stages wrote only the result is left.
+    left = set(storage.children(spark, shared_folder(spark))) - there
+    assert len(left) == 1 and "stage-packing" in left.pop()
     assert {r["doc_id"] for r in got.collect()} == {i for i, _ in docs}
     sizes = {r["doc_id"]: r["doc_tokens"] for r in got.collect()}
     assert got.groupBy().sum("length").first()[0] == sum(sizes.values())
@@ -95,3 +100,18 @@ def test_run_matches_brute_force(spark):
 
 def test_stage_results_are_written(spark, odd_docs):
     assert "Scan parquet" in staged(odd_docs, "x")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_release_takes_what_was_made_inside(spark, odd_docs):
+    kept = staged(odd_docs, "kept")
+    paths = []
+    with pytest.raises(KeyError), released(spark):
+        paths += [fresh_path(spark, "never-written"), fresh_path(spark, "outer")]
+        odd_docs.write.parquet(paths[-1])
+        with released(spark):
+            inner = fresh_path(spark, "inner")
+            odd_docs.write.parquet(inner)
+        assert storage.exists(spark, paths[-1]) and not storage.exists(spark, inner)
+        raise KeyError
+    assert not any(storage.exists(spark, path) for path in paths)
+    assert kept.count() == odd_docs.count()

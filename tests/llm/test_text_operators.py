@@ -589,6 +589,96 @@ def test_names_known_from_other_documents(spark):
     assert by_id[9]["text"] is None and by_id[10]["text"] == ""
 
 
+def brute_settled(entities, key, moved):
+    """The surrogate of each entity, round by round over dictionaries."""
+    taken, pending, done = set(entities), {e: 0 for e in entities}, {}
+    while pending:
+        drawn = {}
+        for (kind, canonical), attempt in pending.items():
+            value = pii.surrogate(key, kind, canonical, attempt)
+            if kind == "email":
+                value = f"{value.split('@')[0]}@{moved[canonical.split('@')[1]]}"
+            drawn.setdefault((kind, value), []).append(canonical)
+        fresh = {(kind, min(of)): value for (kind, value), of in drawn.items() if (kind, value) not in taken}
+        done |= fresh
+        taken |= {(kind, value) for (kind, _), value in fresh.items()}
+        pending = {e: attempt + 1 for e, attempt in pending.items() if e not in fresh}
+    return done
+
+
+def brute_written(kind, mention, value):
+    if kind in ("ssn", "card"):
+        digits = list(value)
+        return "".join(digits.pop(0) if c.isdigit() else c for c in mention)
+    if kind == "email":
+        if len(value) != len(mention):
+            return value
+        return "".join(v.upper() if m.isupper() else v for v, m in zip(value, mention))
+    return value[0].upper() + value[1:] if kind != "ip" else value
+
+
+def personal_texts(n, seed):
+    """Texts as lists of ``mention, kind, canonical``, kind None for what must stay."""
+    rng = random.Random(seed)
+    men, women = [f"Zar{c}" for c in "abcdefgh"], [f"Ily{c}" for c in "abcdefgh"]
+    last = [f"Quor{c}{d}" for c in "abcde" for d in "klmn"]
+    for number in range(n):
+        out = []
+
+        def say(mention, kind=None, canonical=None):
+            out.append((mention, kind, canonical or mention.lower()))
+
+        for _ in range(rng.randint(0, 12)):
+            for word in prose(rng, "abcdefgh", rng.randint(1, 5)).split():
+                say(word)
+            pick = rng.randrange(7)
+            if pick == 0:
+                mention = f"{rng.choice('abAB')}{rng.randrange(30)}@{rng.choice('abcdefg')}.org"
+                say(mention, "email")
+            elif pick == 1:
+                say(f"192.168.{rng.randrange(3)}.{rng.randrange(1, 200)}", "ip")
+            elif pick == 2:
+                digits = f"{rng.randrange(100, 600)}{rng.randrange(10, 99)}{rng.randrange(1000, 9999)}"
+                say(f"{digits[:3]}-{digits[3:5]}-{digits[5:]}", "ssn", digits)
+            elif pick == 3:
+                body = f"4{rng.randrange(10**14):014d}"
+                digits = next(body + str(d) for d in range(10) if pii._luhn(body + str(d)))
+                gap = rng.choice(("", " ", "-"))
+                say(gap.join(digits[i : i + 4] for i in range(0, 16, 4)), "card", digits)
+            elif pick < 6:
+                gender, title, names = rng.choice((("m", "Mr", men), ("f", "Mrs", women)))
+                # The first texts show every given name behind its title.
+                given = names[number % 8] if number < 16 else rng.choice(names)
+                if number < 16 or pick == 4:
+                    say(title)
+                say(given, f"given_{gender}")
+                say(rng.choice(last), "surname")
+        if number < 16:
+            gender, title, given = ("m", "Mr", men[number]) if number < 8 else ("f", "Mrs", women[number - 8])
+            for told in (("then",), (title,), (given, f"given_{gender}"), (rng.choice(last), "surname")):
+                say(*told)
+        say("end")
+        yield out
+
+
+def test_surrogates_match_brute_force(spark):
+    texts = list(personal_texts(250, 5))
+    secret = hashlib.blake2b(b"key", digest_size=32).digest()
+    entities = {(kind, canonical) for text in texts for _, kind, canonical in text if kind}
+    domains = {("domain", c.split("@")[1]) for kind, c in entities if kind == "email"}
+    moved = {c: value for (_, c), value in brute_settled(domains, secret, {}).items()}
+    mapping = brute_settled(entities, secret, moved)
+    assert len(entities) > 500 and len(set(mapping.items())) == len(entities)
+    expected = []
+    for number, text in enumerate(texts):
+        found = [kind for _, kind, _ in text if kind]
+        told = [brute_written(k, m, mapping[k, c]) if k else m for m, k, c in text]
+        expected.append((number, " ".join(told), len(found), sorted(set(found))))
+    docs = build(spark, [(n, " ".join(m for m, _, _ in text), None) for n, text in enumerate(texts)])
+    got = pii.replace_personal_data(docs.repartition(3), "key").orderBy("doc_id").collect()
+    assert [tuple(row) for row in got] == expected
+
+
 def test_checksums_of_surrogates():
     for k in range(200):
         assert pii._luhn(pii.surrogate(b"k", "card", "4111111111111111", k))
