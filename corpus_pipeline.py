@@ -14,16 +14,16 @@ stage but the last.
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeworks.llm import language_id, secret_scan
-from lodeworks.llm.common import shared_folder, staged, table
+from lodeworks.llm.common import fresh_path, released, table
 from lodeworks.llm.decontamination import contamination
 from lodeworks.llm.minhash import one_of_each_group
 from lodeworks.llm.packing import pack_documents
+from lodeworks.sources import storage
 
 import public_tokenizers  # noqa: E402 - behind lodeworks.llm, whose absence is to be told first
 
@@ -101,7 +101,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a secret is found."""
-    ledger = f"{shared_folder(spark)}/secret-ledger-{uuid4().hex}"
+    ledger = fresh_path(spark, "secret-ledger")
     rows = docs.select(_row_key().alias("row_key"), "text")
     found = secret_scan.scan_history(rows, ledger)
     return _without(docs, found.where(F.size("findings") > 0).select("row_key"))
@@ -124,10 +124,20 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``.
+
+    What a stage wrote for itself is deleted when its result is written, and that result
+    when the next one's is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = fresh_path(spark, f"stage-{name}")
+        with released(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            storage.remove(spark, before)
+        before = path
     return docs
 
 
