@@ -140,10 +140,12 @@ PATTERNS: tuple[tuple[str, re.Pattern, Callable[[str], str], Callable[[str], boo
         lambda x: True,
     ),
 )
+#: A second name; a form of address behind a name begins the next one.
+_LAST_NAME = rf"(?!(?:{_ALL_TITLES})\.?[ ]){_NAME}"
 PERSON = re.compile(
-    rf"(?<!\w)(?:(?P<title>{_ALL_TITLES})\.?[ ](?P<named>{_NAME}(?:[ ]{_NAME})?)"
-    rf"|(?P<given>{_ALL_GIVEN})[ ](?P<surname>{_NAME})"
-    rf"|(?i:{_ALL_CUES})[ \n](?P<cued>{_NAME}[ ]{_NAME})(?!\w))"
+    rf"(?<!\w)(?:(?P<title>{_ALL_TITLES})\.?[ ](?P<named>{_NAME}(?:[ ]{_LAST_NAME})?)"
+    rf"|(?P<given>{_ALL_GIVEN})[ ](?P<surname>{_LAST_NAME})"
+    rf"|(?i:{_ALL_CUES})[ \n](?P<cued>{_NAME}[ ]{_LAST_NAME})(?!\w))"
 )
 #: Two or three capitalised words that may be a name; the next may begin with the second.
 PAIR = re.compile(rf"(?<![\w-])({_NAME}) (?=({_NAME})(?: ({_NAME}))?(?![\w-]))")
@@ -162,6 +164,7 @@ MAYBE = (
 #: The same for texts that may have a ``PAIR``.
 MAYBE_PAIR = r"\p{Lu}\p{L}+ \p{Lu}\p{L}"
 
+_TITLES = {t for titles in TITLES.values() for t in titles}
 _GENDER_OF = {n.lower(): g for g, names in (*TITLES.items(), *GIVEN.items()) for n in names}
 
 
@@ -235,12 +238,12 @@ def _read(text: str) -> tuple[list[tuple[int, int, str, str]], set[tuple[str, st
 
 def pairs(text: str) -> set[str]:
     """The distinct pairs of words that may be a name, each as written and in small letters.
-    Of three words the first makes a pair with either of the others."""
+    Of three words the first makes a pair with either of the others, forms of address apart."""
     return {
         f"{m[1]} {last} {m[1].lower()} {last.lower()}"
         for m in PAIR.finditer(text)
         for last in m.group(2, 3)
-        if last and m[1][0].isupper() and last[0].isupper()
+        if last and last not in _TITLES and m[1][0].isupper() and last[0].isupper()
     }
 
 
