@@ -227,6 +227,17 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert added.count() == 3
 
 
+def test_token_of_three_parts_is_found_behind_any_character(spark, tmp_path):
+    token = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.sig"
+    texts = [token, "x" + token, "a_eyJ-" + token + "." + token, "eyJ." + token, "é" * 3 + "Bearer-" + token + " k=" + token]
+    texts += ["eyJ" * 20 + "." + "x" + token, "x" * 1_000_000 + token, "eyJeyJ." * 90_000, "a" * 1_000_000 + " " + token]
+    docs = build(spark, [(i, t, None) for i, t in enumerate(texts)]).select("doc_id", "text")
+    found = secret_scan.scan_history(docs, str(tmp_path / "ledger")).collect()
+    assert {r["doc_id"]: [tuple(x) for x in r["findings"]] for r in found} == {
+        i: brute_secrets(t) for i, t in enumerate(texts)
+    }
+
+
 def test_secrets_of_no_documents(no_docs, tmp_path):
     assert secret_scan.scan_history(no_docs, str(tmp_path / "ledger")).count() == 0
 
