@@ -227,6 +227,14 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert added.count() == 3
 
 
+def test_scans_of_one_ledger_can_be_used_together(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    docs = [build(spark, [(i, f"token=abcdef{i}", None)]) for i in range(3)]
+    scans = [secret_scan.scan_history(rows.select("doc_id", "text"), ledger) for rows in docs]
+    together = scans[0].union(scans[1]).union(scans[2])
+    assert {r["doc_id"]: len(r["findings"]) for r in together.collect()} == {0: 1, 1: 1, 2: 1}
+
+
 def test_token_of_three_parts_is_found_behind_any_character(spark, tmp_path):
     token = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.sig"
     texts = [token, "x" + token, "a_eyJ-" + token + "." + token, "eyJ." + token, "é" * 3 + "Bearer-" + token + " k=" + token]
