@@ -36,7 +36,8 @@ def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 
 def _fields(sep: str, schema: StructType, escape: str | None) -> list[Column]:
     """Fields of a line, split at separators that no ``escape`` stands before."""
-    line, codes = F.col("value"), []
+    raw = line = F.col("value")
+    codes = []
     if escape is not None:
         # An escaped escape and an escaped separator are written as a mark and a digit
         # meanwhile, and so is the mark itself: whatever the text holds comes back.
@@ -48,13 +49,15 @@ def _fields(sep: str, schema: StructType, escape: str | None) -> list[Column]:
             line = F.replace(line, F.lit(plain), F.lit(code))
         codes = [(escape + "n", "\n"), (escape + "r", "\r"), (mark + "2", sep), (mark + "1", escape)]
         codes.append((mark + "0", mark))
-    parts = F.split(line, re.escape(sep), -1)
+        coded = F.contains(raw, F.lit(escape)) | F.contains(raw, F.lit(mark))
+    parts, plain_parts = (F.split(x, re.escape(sep), -1) for x in (line, raw))
 
     def field(i: int) -> Column:
         text = F.get(parts, F.lit(i))
         for code, plain in codes:
             text = F.replace(text, F.lit(code), F.lit(plain))
-        return text
+        # Most lines hold neither: their fields are what stands between separators.
+        return F.when(coded, text).otherwise(F.get(plain_parts, F.lit(i))) if codes else text
 
     return [field(i).alias(name) for i, name in enumerate(schema.fieldNames())]
 
