@@ -15,3 +15,9 @@ def test_queries_ask_for_small_methods(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     driver.queries()["quarantine_games"](spark, SF_DIR)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_a_delivery_is_written_by_many_tasks(spark):
+    rows = spark.range(0, 1000, 1, 4)
+    (path, _), = upkeep_queries._landing(spark, "landing-test", [rows])
+    assert len(storage.files_below(spark, path)) == 4

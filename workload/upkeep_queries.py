@@ -264,7 +264,7 @@ def _landing(spark, label, deliveries):
     """A directory into which deliveries are put one after the other."""
     path = fresh_path(spark, label)
     for rows in deliveries:
-        yield path, write_parquet(rows, path, mode="append", num_partitions=1)
+        yield path, write_parquet(rows, path, mode="append")
 
 
 def _event_stream(spark, sf_dir):
