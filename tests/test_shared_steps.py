@@ -32,3 +32,9 @@ def test_deliveries_are_parts_of_staged_bronze(spark):
 def test_outdated_versions_with_bad_dates_do_not_fail(spark):
     for delta in upkeep_queries._game_deltas(spark, SF_DIR):
         assert "cast(substring" not in plan_of(delta).replace("try_cast", "")
+
+
+def test_gold_sets_are_made_from_staged_seasons(spark):
+    seasons = upkeep_queries._seasons(spark, SF_DIR)
+    for table in upkeep_queries._gold_set(seasons, 1998).values():
+        assert "l_orderkey" not in plan_of(table)

@@ -156,14 +156,21 @@ def _failing(tables: dict[str, DataFrame], at: int) -> dict[str, DataFrame]:
     return {**tables, name: broken}
 
 
-def _gold_set(spark, sf_dir, season):
+def _seasons(spark, sf_dir):
+    """Player and team seasons, staged: every table of every set is made from these."""
     columns = ("personId", "gameId", "firstName", "lastName", "game_year")
     stats = roles.PLAYER_STATISTICS.frame(spark, sf_dir, *columns, *gold.MEASURES.values())
     games = roles.GAMES.frame(
         spark, sf_dir, "game_year", "homeTeamName", "awayTeamName", "homeScore", "awayScore"
     )
-    kept = F.col("game_year") <= season
-    return gold.gold_tables(stats.filter(kept), games.filter(kept))
+    return (
+        staged(gold.player_seasons(stats), "player-seasons"),
+        staged(gold.team_seasons(games), "team-seasons"),
+    )
+
+
+def _gold_set(seasons, last):
+    return gold.gold_tables_from_seasons(*(rows.filter(F.col("game_year") <= last) for rows in seasons))
 
 
 _SEASONS = (1996, 1998, 2100)
@@ -174,14 +181,15 @@ def _published(spark, sf_dir):
     database = f"lodeworks_{uuid4().hex[:12]}"
     base = fresh_path(spark, database)
     ensure_database(spark, database, f"{base}/db")
-    done = [publish_set(spark, _gold_set(spark, sf_dir, s), database, f"{base}/gold") for s in _SEASONS[:2]]
-    last = _failing(_gold_set(spark, sf_dir, _SEASONS[2]), 4)
+    seasons = _seasons(spark, sf_dir)
+    done = [publish_set(spark, _gold_set(seasons, s), database, f"{base}/gold") for s in _SEASONS[:2]]
+    last = _failing(_gold_set(seasons, _SEASONS[2]), 4)
     try:
         publish_set(spark, last, database, f"{base}/gold")
     except Exception as failed:
         if "cut off" not in str(failed):
             raise
-    return database, f"{base}/gold", done
+    return database, f"{base}/gold", done, list(last)
 
 
 def _facts_of(tables: dict[str, DataFrame]) -> DataFrame:
@@ -198,16 +206,14 @@ def _facts_of(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _snapshot_consistent(spark, sf_dir):
-    database, _, _ = _published(spark, sf_dir)
-    names = _gold_set(spark, sf_dir, _SEASONS[1])
+    database, _, _, names = _published(spark, sf_dir)
     return _facts_of({name: scan_table(spark, database, name) for name in names})
 
 
 def _snapshot_rolled_back(spark, sf_dir):
     """The earlier snapshot, half of it by its id and half by the names after a rollback."""
-    database, base, done = _published(spark, sf_dir)
+    database, base, done, names = _published(spark, sf_dir)
     point_at(spark, database, done[0])
-    names = list(_gold_set(spark, sf_dir, _SEASONS[0]))
     return _facts_of(
         {
             name: read_snapshot(spark, base, name, done[0]) if k % 2 else scan_table(spark, database, name)
