@@ -38,3 +38,13 @@ def test_gold_sets_are_made_from_staged_seasons(spark):
     seasons = upkeep_queries._seasons(spark, SF_DIR)
     for table in upkeep_queries._gold_set(seasons, 1998).values():
         assert "l_orderkey" not in plan_of(table)
+
+
+def test_silver_is_built_once_for_all_runs(spark, monkeypatch):
+    plans = []
+    write = ingest_queries.replace_parquet
+    monkeypatch.setattr(
+        ingest_queries, "replace_parquet", lambda rows, *a, **b: (plans.append(plan_of(rows)), write(rows, *a, **b))
+    )
+    ingest_queries._registered(spark, SF_DIR)
+    assert len(plans) == 3 and not any("Window" in plan for plan in plans)

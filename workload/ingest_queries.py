@@ -19,7 +19,7 @@ from lodeworks.sources.files import (
     with_lineage,
 )
 from lodeworks.sources.sinks import replace_parquet, write_delimited, write_parquet
-from lodeworks.sources.staging import fresh_path
+from lodeworks.sources.staging import fresh_path, staged
 from lodeworks.sources.tables import (
     ensure_database,
     overwrite_table,
@@ -209,7 +209,8 @@ def _delimited_escaped(spark, sf_dir):
 def _registered(spark, sf_dir):
     """Partitioned silver games, registered, then rebuilt with further years and columns."""
     database, base = _database(spark)
-    games = silver_games(spark, sf_dir).silver.drop("silver_ingest_ts", "source_file")
+    # Written once, or each of the three runs would build silver anew.
+    games = staged(silver_games(spark, sf_dir).silver.drop("silver_ingest_ts", "source_file"), "silver-games")
     first = games.filter(F.col("game_year") < 1996).drop("score_diff")
     for rows in (first, games.filter(F.col("game_year") < 1998), games):
         replace_parquet(rows, f"{base}/games", partition_by=["game_year"])
