@@ -20,7 +20,7 @@ from lodeworks.contracts import CONTRACTS
 from lodeworks.operators.audit import row_counts
 from lodeworks.plans.gold import gold_tables_from_seasons, player_seasons, team_seasons
 from lodeworks.plans.silver import build_silver
-from lodeworks.plans.star import star_tables
+from lodeworks.plans.star import STAR, sources, star_table
 from lodeworks.sources import storage
 from lodeworks.sources.files import (
     scan_csv_with_header,
@@ -144,13 +144,18 @@ def run_gold(
     return list(tables)
 
 
-def run_star(spark: SparkSession, silver_root: str, gold_root: str) -> list[str]:
-    """Write dimensions and fact next to each other below ``gold_root``."""
-    silver = {name: scan_parquet(spark, f"{silver_root}/{name}") for name in CONTRACTS}
-    tables = star_tables(**silver)
-    for name, table in tables.items():
-        replace_parquet(table, f"{gold_root}/{name}")
-    return list(tables)
+def run_star(
+    spark: SparkSession, silver_root: str, gold_root: str, names: Sequence[str] | None = None
+) -> list[str]:
+    """Write dimensions and fact, or those named, next to each other below ``gold_root``.
+
+    Only the silver that the tables to write are made from has to be there.
+    """
+    names = list(names or STAR)
+    silver = {name: scan_parquet(spark, f"{silver_root}/{name}") for name in sources(names)}
+    for name in names:
+        replace_parquet(star_table(name, silver), f"{gold_root}/{name}")
+    return names
 
 
 # -- command line ----------------------------------------------------------
@@ -220,6 +225,7 @@ def _parser() -> argparse.ArgumentParser:
     star = jobs.add_parser("star", help="silver directories into dimensions and fact")
     star.add_argument("--silver-root", required=True)
     star.add_argument("--gold-root", required=True)
+    star.add_argument("--table", action="append", choices=STAR, help="default: all")
     return parser
 
 
@@ -324,7 +330,7 @@ def _gold(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _star(spark: SparkSession, args: argparse.Namespace) -> None:
-    print("\n".join(run_star(spark, args.silver_root, args.gold_root)))
+    print("\n".join(run_star(spark, args.silver_root, args.gold_root, args.table)))
 
 
 _JOBS = {"load": _load, "import": _import, "silver": _silver, "gold": _gold, "star": _star}

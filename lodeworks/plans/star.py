@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 # Columns of the published dimensions and of the fact, in order.
@@ -133,6 +135,27 @@ def fact_stats(
     return fact.select(*FACT_COLUMNS)
 
 
+#: The published tables by directory name: what builds each, from which silver entities.
+STAR = {
+    "dim_players": (dim_players, ("players",)),
+    "dim_teams": (dim_teams, ("team_histories",)),
+    "dim_games": (dim_games, ("games",)),
+    "dim_dates": (dim_dates, ("games",)),
+    "fact_nba_stats": (fact_stats, ("player_statistics", "team_statistics")),
+}
+
+
+def sources(names: Iterable[str]) -> list[str]:
+    """The silver entities that the named tables are made from."""
+    return list(dict.fromkeys(entity for name in names for entity in STAR[name][1]))
+
+
+def star_table(name: str, silver: Mapping[str, DataFrame]) -> DataFrame:
+    """One published table from silver by entity; others than its own are not looked at."""
+    build, entities = STAR[name]
+    return build(*(silver[entity] for entity in entities))
+
+
 def star_tables(
     games: DataFrame,
     players: DataFrame,
@@ -141,10 +164,11 @@ def star_tables(
     team_statistics: DataFrame,
 ) -> dict[str, DataFrame]:
     """The four dimensions and the fact, keyed by directory name."""
-    return {
-        "dim_players": dim_players(players),
-        "dim_teams": dim_teams(team_histories),
-        "dim_games": dim_games(games),
-        "dim_dates": dim_dates(games),
-        "fact_nba_stats": fact_stats(player_statistics, team_statistics),
+    silver = {
+        "games": games,
+        "players": players,
+        "player_statistics": player_statistics,
+        "team_histories": team_histories,
+        "team_statistics": team_statistics,
     }
+    return {name: star_table(name, silver) for name in STAR}

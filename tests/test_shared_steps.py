@@ -1,8 +1,10 @@
 """Steps that several queries share are done once, by many tasks, in compiled code."""
 
 import __spark_entry__ as driver
+from lodeworks import jobs
+from lodeworks.plans import star
 from lodeworks.sources import storage
-from workload import ingest_queries, upkeep_queries
+from workload import ingest_queries, star_queries, upkeep_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -48,3 +50,27 @@ def test_silver_is_built_once_for_all_runs(spark, monkeypatch):
     )
     ingest_queries._registered(spark, SF_DIR)
     assert len(plans) == 3 and not any("Window" in plan for plan in plans)
+
+
+def test_a_sink_takes_only_the_silver_it_is_made_from(spark, monkeypatch):
+    written = []
+    write = star_queries.write_parquet
+    monkeypatch.setattr(
+        star_queries, "write_parquet", lambda rows, path: (written.append(path), write(rows, path))
+    )
+    for name, (_, entities) in star.STAR.items():
+        written.clear()
+        query = star_queries.QUERIES[f"star_{name}"]
+        assert query(spark, SF_DIR).count() > 0
+        assert [path.rsplit("/", 1)[1] for path in written] == list(entities)
+
+
+def test_star_job_writes_the_named_tables(spark, tmp_path):
+    players = star_queries.silver_players(spark, SF_DIR).silver
+    players.write.parquet(f"{tmp_path}/silver/players")
+    jobs.main(
+        ["star", "--silver-root", f"{tmp_path}/silver", "--gold-root", f"{tmp_path}/gold"]
+        + ["--table", "dim_players"]
+    )
+    assert [path.name for path in (tmp_path / "gold").iterdir()] == ["dim_players"]
+    assert spark.read.parquet(f"{tmp_path}/gold/dim_players").count() == players.count()

@@ -61,13 +61,16 @@ _SILVER = {
 
 
 def _published(name):
-    """A sink of the star job, read back from where the job wrote it."""
+    """A sink of the star job, read back from where the job wrote it.
+
+    Silver is built for the entities that this sink is made from, all rows and columns.
+    """
 
     def query(spark, sf_dir):
         root = fresh_path(spark, "star")
-        for entity, build in _SILVER.items():
-            write_parquet(build(spark, sf_dir).silver, f"{root}/silver/{entity}")
-        run_star(spark, f"{root}/silver", f"{root}/gold")
+        for entity in star.sources([name]):
+            write_parquet(_SILVER[entity](spark, sf_dir).silver, f"{root}/silver/{entity}")
+        run_star(spark, f"{root}/silver", f"{root}/gold", [name])
         return scan_parquet(spark, f"{root}/gold/{name}")
 
     return query
