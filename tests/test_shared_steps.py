@@ -19,6 +19,17 @@ def test_queries_ask_for_small_methods(spark):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
 
 
+def test_queries_ask_for_small_scans(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    spark.conf.unset(key)
+    driver.queries()["fact_stats"](spark, SF_DIR)
+    assert spark.conf.get(key) == "16m"
+    spark.conf.set(key, "32m")
+    driver.queries()["fact_stats"](spark, SF_DIR)
+    assert spark.conf.get(key) == "32m"
+    spark.conf.unset(key)
+
+
 def test_a_delivery_is_written_by_many_tasks(spark):
     rows = spark.range(0, 1000, 1, 4)
     (path, _), = upkeep_queries._landing(spark, "landing-test", [rows])
