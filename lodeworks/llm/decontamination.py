@@ -22,6 +22,9 @@ from lodeworks.llm.words import LOWER, words
 #: Word bytes: digits, lower-case letters and every byte outside ASCII.
 TERM_BYTES = np.zeros(256, bool)
 TERM_BYTES[0x30:0x3A] = TERM_BYTES[0x61:0x7B] = TERM_BYTES[0x80:] = True
+#: Bytes of text in an index block, whose words a task sorts at once, and of benchmark text
+#: that it cuts into windows of about 20 times the size at once.
+INDEXED_BYTES, CUT_BYTES = 4 << 20, 1 << 20
 #: Phrase rows (phrase and item) that are sent to the executors at once: 20 MB.
 PHRASES_AT_ONCE = 200_000
 INDEX = (
@@ -49,12 +52,14 @@ def build_index(docs: DataFrame) -> DataFrame:
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(blocks(batches)):
+        for number, batch in enumerate(blocks(batches, limit=INDEXED_BYTES)):
             hashes, first = _terms(batch.column("text"))
             order = np.argsort(hashes, kind="stable")
-            owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            positions = (order + owner[order] * GAP).astype("<u4")
-            terms, counts = np.unique(hashes[order], return_counts=True)
+            hashes = hashes[order]
+            begins = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))[: len(hashes)])
+            terms, counts = hashes[begins], np.diff(begins, append=len(hashes))
+            moved = np.repeat(np.arange(len(first) - 1, dtype="<u4") * np.uint32(GAP), np.diff(first))
+            positions = order.astype("<u4") + moved[order]
             ids = batch.column("doc_id")
             yield pa.RecordBatch.from_pydict(
                 {
@@ -82,7 +87,7 @@ def phrases(items: DataFrame, size: int, unnamed: bool = True) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=CUT_BYTES):
             hashes, first = _terms(batch.column("text"))
             count = np.diff(first)
             windows = np.where(count > 0, np.maximum(count - size, 0) + 1, 0)

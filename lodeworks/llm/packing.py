@@ -23,6 +23,8 @@ from lodeworks.llm.common import blocks, staged
 from lodeworks.llm.token_ids import encoder, with_end
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+#: Bytes of text that a task encodes at once.
+ENCODED_BYTES = 4 << 20
 #: Parts into which the numbering of one length is split, so that a frequent length
 #: (full pieces can be most of a corpus of long texts) is no single task.
 SALTS = 1024
@@ -38,7 +40,7 @@ def token_pieces(
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=ENCODED_BYTES):
             ids, begins = with_end(*encoder(tokenizer).encode(batch.column("text")), end_id)
             raw = memoryview(ids.astype("<u4").tobytes())
             sizes = np.diff(begins)

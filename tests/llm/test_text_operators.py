@@ -4,6 +4,7 @@ and odd tables."""
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from odd_tables import build
 from lodeworks.llm import chat_format, decontamination, language_id, minhash, pii, repeats, secret_scan
-from lodeworks.llm.common import staged
+from lodeworks.llm import words as words_of
+from lodeworks.llm.common import staged, text_bytes
 
 
 def lower(text):
@@ -754,6 +756,43 @@ def test_contamination_matches_brute_force(spark, monkeypatch, odd_docs, odd_row
     assert sorted(map(tuple, got), key=str) == brute_hits([(i, t) for i, t, _ in odd_rows], items, 6)
 
 
+def test_words_are_hashed_by_pieces(monkeypatch):
+    rng = random.Random(12)
+    texts = [prose(rng, "abcé中", rng.randint(0, 30)) for _ in range(40)] + ["", " ", "a" * 100, None]
+    data, offsets = text_bytes(pa.array(texts))
+    whole = words_of.words(data, offsets, minhash.WORD_BYTES)
+    assert (whole[2] == words_of.span_hashes(data, whole[0], whole[1])).all()
+    for piece in (1, 7, 64):
+        monkeypatch.setattr(words_of, "PIECE", piece)
+        for a, b in zip(whole, words_of.words(data, offsets, minhash.WORD_BYTES)):
+            assert (a == b).all()
+
+
+def test_memory_for_words_follows_from_the_words(monkeypatch):
+    """Sums and powers, which take 32 bytes and more a byte of text, are of a piece only."""
+    monkeypatch.setattr(words_of, "_powers", {})
+    texts = pa.array(["abcdefghi " * 400] * 1000)
+    tracemalloc.start()
+    try:
+        hashes, first = decontamination._terms(texts)
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(hashes) == first[-1] == 400_000
+    # 4 MB of text in 400,000 words: lower-case copy, masks, starts, ends and hashes.
+    assert most < 45 << 20 and kept < 12 << 20
+
+
+@pytest.mark.parametrize("size", (1, 300))
+def test_contamination_of_small_blocks_matches_brute_force(spark, monkeypatch, odd_docs, odd_rows, size):
+    monkeypatch.setattr(decontamination, "INDEXED_BYTES", size)
+    monkeypatch.setattr(decontamination, "CUT_BYTES", size)
+    items = [("x", odd_rows[0][1][:90]), ("y", "one"), ("z", odd_rows[10][1][500:900]), (None, "bb")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = decontamination.contamination(odd_docs, bench, 10).collect()
+    assert sorted(map(tuple, got), key=str) == brute_hits([(i, t) for i, t, _ in odd_rows], items, 10)
+
+
 def test_contamination_of_and_by_nothing(spark, odd_docs, odd_rows, no_docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     got = decontamination.contamination(odd_docs, bench).collect()
