@@ -34,32 +34,45 @@ def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def _fields(sep: str, schema: StructType, escape: str | None) -> list[Column]:
-    """Fields of a line, split at separators that no ``escape`` stands before."""
-    raw = line = F.col("value")
-    codes = []
-    if escape is not None:
+_PARTS = "__parts"
+
+
+def _split(lines: DataFrame, sep: str, escape: str | None, schema: StructType) -> DataFrame:
+    """Fields of each line, split at separators that no ``escape`` stands before.
+
+    A line is split once, into a column of its own that all fields are taken from: split
+    within each field's expression, a line is split as often as it has fields.
+    """
+    raw = F.col("value")
+    if escape is None:
+        parts = F.split(raw, re.escape(sep), -1)
+    else:
         # An escaped escape and an escaped separator are written as a mark and a digit
         # meanwhile, and so is the mark itself: whatever the text holds comes back.
         mark = "\ue000"
         if sep in (mark, escape) or sep.isdigit():
             raise ValueError(f"{sep!r} cannot be a separator of escaped text")
+        line = raw
         held = ((mark, mark + "0"), (escape * 2, mark + "1"), (escape + sep, mark + "2"))
         for plain, code in held:
             line = F.replace(line, F.lit(plain), F.lit(code))
         codes = [(escape + "n", "\n"), (escape + "r", "\r"), (mark + "2", sep), (mark + "1", escape)]
         codes.append((mark + "0", mark))
-        coded = F.contains(raw, F.lit(escape)) | F.contains(raw, F.lit(mark))
-    parts, plain_parts = (F.split(x, re.escape(sep), -1) for x in (line, raw))
 
-    def field(i: int) -> Column:
-        text = F.get(parts, F.lit(i))
-        for code, plain in codes:
-            text = F.replace(text, F.lit(code), F.lit(plain))
-        # Most lines hold neither: their fields are what stands between separators.
-        return F.when(coded, text).otherwise(F.get(plain_parts, F.lit(i))) if codes else text
+        def decoded(text: Column) -> Column:
+            for code, plain in codes:
+                text = F.replace(text, F.lit(code), F.lit(plain))
+            return text
 
-    return [field(i).alias(name) for i, name in enumerate(schema.fieldNames())]
+        # Most lines hold neither: their fields are what stands between separators.
+        coded = F.contains(raw, F.lit(escape)) | F.contains(raw, F.lit(mark))
+        parts = F.when(
+            coded, F.transform(F.split(line, re.escape(sep), -1), decoded)
+        ).otherwise(F.split(raw, re.escape(sep), -1))
+    names = schema.fieldNames()
+    return lines.select(parts.alias(_PARTS)).select(
+        *(F.get(_PARTS, F.lit(i)).alias(name) for i, name in enumerate(names))
+    )
 
 
 def scan_delimited(
@@ -79,7 +92,7 @@ def scan_delimited(
     none: with ``escape=None`` every separator separates and all other characters are
     what they are, like in a catalog entry of ``register_delimited``.
     """
-    texts = spark.read.text(path).select(*_fields(sep, schema, escape))
+    texts = _split(spark.read.text(path), sep, escape, schema)
     empty = ("",) if null_value is None else ("", null_value)
     texts = texts.select(
         *(F.when(~F.col(f"`{n}`").isin(*empty), F.col(f"`{n}`")).alias(n) for n in texts.columns)

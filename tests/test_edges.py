@@ -191,3 +191,14 @@ def test_import_without_a_split_is_refused(tmp_path):
 
 def test_required_columns_in_any_case(spark):
     assert missing_columns(spark.range(1), ["ID", "name"]) == ["name"]
+
+
+def test_a_line_is_split_once_however_many_fields_it_has(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", None), (2, "b\\n,c", "d"), (3, "", ",")], "id long, x string, y string")
+    write_delimited(rows, str(tmp_path / "t"))
+    read = scan_delimited(spark, str(tmp_path / "t"), rows.schema)
+    assert values(read, "id", "x", "y") == values(rows, "id", "x", "y")
+    # Once as it stands and once for lines with an escape, not for each field.
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+    plain = scan_delimited(spark, str(tmp_path / "t"), rows.schema, escape=None)
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
