@@ -23,6 +23,12 @@ def remove(spark: SparkSession, path: str) -> None:
     storage.delete(place, True)
 
 
+def bytes_of(spark: SparkSession, path: str) -> int:
+    """The size of a file, or of all files below a directory."""
+    storage, place = _at(spark, path)
+    return storage.getContentSummary(place).getLength()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Directories right below a path, oldest first."""
     storage, place = _at(spark, path)

@@ -57,13 +57,25 @@ class Role:
     def frame(self, spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
         """The role as a DataFrame with the named (default: all) columns."""
         names = names or tuple(self.columns)
-        df = load(spark, sf_dir, self.base)
+        tables = {}
         for lookup in self._lookups(names):
-            table, prefix, foreign, own = _LOOKUPS[lookup]
-            other = load(spark, sf_dir, table)
+            table, prefix, _, _ = _LOOKUPS[lookup]
+            tables[lookup] = load(spark, sf_dir, table)
             if lookup in _RENAMED:
-                other = other.toDF(*(c.replace("n_", prefix, 1) for c in other.columns))
-            df = df.join(other, F.col(foreign) == F.col(own))
+                tables[lookup] = tables[lookup].toDF(
+                    *(c.replace("n_", prefix, 1) for c in tables[lookup].columns)
+                )
+
+        def joined(left: DataFrame, lookup: str) -> DataFrame:
+            _, _, foreign, own = _LOOKUPS[lookup]
+            return left.join(tables.pop(lookup), F.col(foreign) == F.col(own))
+
+        # Customers go to their orders first, so that lines are shuffled once for both.
+        if "orders" in tables and "customer" in tables:
+            tables["orders"] = joined(tables["orders"], "customer")
+        df = load(spark, sf_dir, self.base)
+        for lookup in list(tables):
+            df = joined(df, lookup)
         return df.selectExpr(*(f"{self.columns[name]} AS {name}" for name in names))
 
     def sql(self, *names: str) -> str:

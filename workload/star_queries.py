@@ -6,7 +6,7 @@ from lodeworks.jobs import run_star
 from lodeworks.plans import star
 from lodeworks.sources.files import scan_parquet
 from lodeworks.sources.sinks import write_parquet
-from lodeworks.sources.staging import fresh_path
+from lodeworks.sources.staging import fresh_path, rounds_for, staged_in_rounds
 from workload import roles
 from workload.silver_queries import (
     ORACLE as SILVER_SQL,
@@ -33,9 +33,15 @@ def _dim_sql(columns, silver):
     return f"SELECT {named} FROM ({SILVER_SQL[silver]}) AS s"
 
 
+def _in_rounds(fact):
+    """Large facts game by game: all shuffles of one execution are on disk together."""
+    rounds = rounds_for(fact.sparkSession, fact.inputFiles())
+    return fact if rounds == 1 else staged_in_rounds(fact, "fact", ["gameid"], rounds)
+
+
 def _fact(spark, sf_dir):
     teams = silver_team_statistics(spark, sf_dir).silver
-    return star.fact_stats(_LINES.frame(spark, sf_dir, *_LINE_COLUMNS), teams)
+    return _in_rounds(star.fact_stats(_LINES.frame(spark, sf_dir, *_LINE_COLUMNS), teams))
 
 
 def _fact_with_games(spark, sf_dir):
@@ -43,7 +49,7 @@ def _fact_with_games(spark, sf_dir):
     lines = _LINES.frame(spark, sf_dir, *_LINE_COLUMNS)
     # Lines carry the order's number, games that number times eight and the line's.
     games = silver_games(spark, sf_dir).silver.selectExpr("gameid DIV 8 AS gameid").distinct()
-    return star.fact_stats(lines, teams, games)
+    return _in_rounds(star.fact_stats(lines, teams, games))
 
 
 def _fact_from_silver(spark, sf_dir):
