@@ -22,9 +22,9 @@ from lodeworks.plans.silver import build_silver, tie_break_columns
 from lodeworks.sources import storage
 from lodeworks.sources.files import scan_parquet
 from lodeworks.sources.sinks import partition_filter, replace_partitions, write_parquet
-from lodeworks.sources.staging import staged
+from lodeworks.sources.staging import rounds_for, staged, staged_in_rounds
 
-_FRESH = "__fresh"
+_FRESH, _HIT = "__fresh", "__hit"
 
 
 @dataclass(frozen=True)
@@ -67,18 +67,23 @@ def merge_rows(
     if not touched:
         return Merge(nothing, nothing, [])
     old = present.filter(partition_filter(touched, partition_by))
-    contested = staged(old.join(wanted, list(keys), "left_semi"), "merge-contested")
+    # One pass over the old rows tells those whose keys are wanted from the rest.
+    hits = wanted.distinct().withColumn(_HIT, F.lit(True))
+    told = staged(old.join(hits, list(keys), "left"), "merge-old")
+    contested = told.filter(F.col(_HIT)).select(*columns)
     both = contested.withColumn(_FRESH, F.lit(0)).unionByName(fresh.withColumn(_FRESH, F.lit(1)))
     # Behind all other columns: of equal rows the one that is there already stays.
     settled = keep_latest(
         both.withColumn("__old", 1 - F.col(_FRESH)), keys, newest_by, [*tie_break, "__old"]
     ).drop("__old")
-    settled = staged(settled, "merge-settled")
+    # Tables staged here are narrow and cheap to read again, so rounds may be larger.
+    rounds = rounds_for(spark, both.inputFiles(), at_once=3)
+    settled = staged_in_rounds(settled, "merge-settled", keys, rounds)
     added = settled.filter(F.col(_FRESH) == 1).drop(_FRESH)
     removed = contested.join(added.select(*keys), list(keys), "left_semi").select(*columns)
-    rest = old.join(wanted, list(keys), "left_anti")
-    merged = staged(settled.drop(_FRESH).unionByName(rest.select(*columns)), "merge-result")
-    replace_partitions(merged, path, partition_by, touched)
+    rest = told.filter(F.col(_HIT).isNull()).select(*columns)
+    merged = settled.drop(_FRESH).unionByName(rest)
+    replace_partitions(merged, path, partition_by, touched, rounds)
     return Merge(added, removed, touched)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from lodeworks.contract import Contract
 from lodeworks.sources.sinks import write_parquet
+from lodeworks.sources.staging import released
 from lodeworks.streaming.incremental import instant_of
 from lodeworks.streaming.merge import merge_silver
 
@@ -83,7 +84,8 @@ def merge_available(
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        merge_silver(rows, contract, silver_path, quarantine_path, run=str(number), **options)
+        with released(rows.sparkSession):
+            merge_silver(rows, contract, silver_path, quarantine_path, run=str(number), **options)
 
     _run(feed, checkpoint, batch).awaitTermination()
 
